@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import date_parts, day_of
 from ..sources import schemas
-from .keys import assign_surrogate_keys
+from .keys import assign_surrogate_keys, calendar_keys
 
 REG = "aircraftregistration"
 AIRCRAFT_ATTRS = ("Manufacturer_Serial_Number", "Aircraft_Model", "Aircraft_Manufacturer_Class")
@@ -72,7 +72,7 @@ def date_members(flights: DataFrame, ts: str = "scheduleddeparture") -> DataFram
 
 
 def date_dimension(members: DataFrame) -> DataFrame:
-    return assign_surrogate_keys(members, ["Full_Date"], "Date_ID").select(*schemas.DATES.fieldNames())
+    return calendar_keys(members, ["Full_Date"], "Date_ID").select(*schemas.DATES.fieldNames())
 
 
 def month_members(reports: DataFrame, maintenance: DataFrame) -> DataFrame:
@@ -88,4 +88,4 @@ def month_members(reports: DataFrame, maintenance: DataFrame) -> DataFrame:
 
 
 def month_dimension(members: DataFrame) -> DataFrame:
-    return assign_surrogate_keys(members, ["Year", "Month_Num"], "Month_ID").select(*schemas.MONTHS.fieldNames())
+    return calendar_keys(members, ["Year", "Month_Num"], "Month_ID").select(*schemas.MONTHS.fieldNames())

@@ -4,10 +4,10 @@ Keys are dense integers in the order of the natural key.  A global
 ``row_number()`` over an unpartitioned window would pull the whole
 dimension into one task, so numbering is done in three steps:
 
-1. range-partition the members by the order columns and materialize the
-   result in the shared checkpoint folder (this fixes which row sits in
-   which partition, so the two passes below agree, and survives executor
-   loss);
+1. range-partition the members by the order columns, record each row's
+   partition id as a column and materialize the result in the shared
+   checkpoint folder (this fixes which row belongs to which range, so the
+   two passes below agree, and survives executor loss);
 2. count the rows of every partition: one row per partition, so the
    running offsets over it are computed on a frame whose size is bounded by
    the partition count, not by the data;
@@ -43,7 +43,11 @@ def assign_surrogate_keys(
     spark = members.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(order_by)
-    ranged = materialize(members.repartitionByRange(n, *order).withColumn(_PART, F.spark_partition_id()))
+    # The partition id is stored as a column, so the numbering below does not
+    # depend on how the materialized table is split when read back.
+    ranged = materialize(
+        members.repartitionByRange(n, *order).withColumn(_PART, F.spark_partition_id()), "surrogate-keys"
+    )
 
     sizes = ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
@@ -62,6 +66,18 @@ def assign_surrogate_keys(
     return numbered.select(key_col, *rest)
 
 
+def calendar_keys(members: DataFrame, order_by: Sequence[str | Column], key_col: str) -> DataFrame:
+    """Dense keys for a calendar dimension (days or months).
+
+    Its size is bounded by the calendar span of the data (at most 366 rows
+    per year), not by the number of facts, so one ordered window over it is
+    cheap and needs no materialization.
+    """
+    order = _cols(order_by)
+    keyed = members.withColumn(key_col, F.row_number().over(Window.orderBy(*order)).cast("int"))
+    return keyed.select(key_col, *[c for c in members.columns if c != key_col])
+
+
 def new_members(existing: DataFrame, candidates: DataFrame, natural_key: Sequence[str]) -> DataFrame:
     """Candidates whose natural key is not in ``existing`` yet (one row per key)."""
     keys = list(natural_key)

@@ -92,7 +92,11 @@ def build_warehouse(src: FleetSources, clean: bool = True) -> Warehouse:
     s = clean_sources(src, clean)
     totals = materialize(facts.daily_flight_totals(s.flights, keep_null_registration=True))
     aircrafts, dates, months = build_dimensions(s, totals)
-    aircrafts, dates, months = (bounded_broadcast(d) for d in (aircrafts, dates, months))
+    # Calendar dimensions are bounded by the calendar span; the aircraft
+    # dimension grows with the data and is checked.
+    aircrafts = bounded_broadcast(aircrafts)
+    dates, months = materialize(dates), materialize(months)
+    dates, months = F.broadcast(dates), F.broadcast(months)
 
     daily_aggr = facts.daily_flight_measures(totals)
     monthly_aggr = facts.monthly_maintenance_aggregates(s.maintenance)
@@ -118,3 +122,53 @@ def table_schema(name: str):
 
 def empty_like(df: DataFrame) -> DataFrame:
     return df.filter(F.lit(False))
+
+
+# --- D6 / D7: loading and reusing a stored warehouse ------------------------------------
+
+DIMENSION_TABLES = ("Aircrafts", "Dates", "Months")
+FACT_TABLES = ("Flight_Operations_Daily", "Aircraft_Monthly_Summary", "Logbooks")
+
+
+def load_fact(fact: DataFrame, table: str, path: str) -> None:
+    """Append fact rows to a stored table, columns in the declared order.
+
+    Run the integrity checks first (``operators.integrity``); an append is
+    not idempotent, exactly like a bulk insert.
+    """
+    schema = schemas.WAREHOUSE_TABLES[table]
+    fact.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("append").parquet(
+        f"{path.rstrip('/')}/{table}"
+    )
+
+
+def write_warehouse(wh: Warehouse, path: str, reset: bool = True) -> None:
+    """Store all six tables under ``path``.  ``reset=True`` replaces what
+    is there (dimensions and facts); ``reset=False`` appends the facts and
+    replaces the dimensions, which the caller extends with
+    ``keys.ensure_dimension`` beforehand."""
+    root = path.rstrip("/")
+    for name, df in wh.tables().items():
+        schema = schemas.WAREHOUSE_TABLES[name]
+        out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        mode = "overwrite" if (reset or name in DIMENSION_TABLES) else "append"
+        out.write.mode(mode).parquet(f"{root}/{name}")
+
+
+def read_warehouse(spark, path: str) -> Warehouse:
+    """D7 (reuse): open a stored warehouse.  Dimensions are broadcast after a
+    size check; the pre-lookup aggregates are not stored and come back empty."""
+    root = path.rstrip("/")
+    t = {name: spark.read.parquet(f"{root}/{name}") for name in schemas.WAREHOUSE_TABLES}
+    empty = spark.createDataFrame([], "x int")
+    return Warehouse(
+        aircrafts=bounded_broadcast(t["Aircrafts"]),
+        dates=bounded_broadcast(t["Dates"]),
+        months=bounded_broadcast(t["Months"]),
+        flight_daily=t["Flight_Operations_Daily"],
+        monthly=t["Aircraft_Monthly_Summary"],
+        logbooks=t["Logbooks"],
+        daily_aggregates=empty,
+        monthly_aggregates=empty,
+        logbook_aggregates=empty,
+    )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 BROADCAST_ROWS_CONF = "avionyx.broadcast.maxRows"
 DEFAULT_BROADCAST_ROWS = 1_000_000
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "avionyx") -> SparkSession:
@@ -30,7 +31,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Constraint propagation re-derives predicates over every alias of
+        # the wide derived columns; it only costs planning time here.
+        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Generated code for wide projections and pushed-down predicates can
+        # exceed HotSpot's 8 KB JIT limit and would then run interpreted.
+        .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+        .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -70,15 +78,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back, cutting its lineage.
 
-    A reliable checkpoint survives the loss of the executors that computed
-    it, and fixes the partitioning, so two later passes over the result see
-    the same rows in the same partitions.
+    The result survives the loss of the executors that computed it, is
+    computed exactly once (a reliable ``checkpoint()`` of an uncached plan
+    computes it twice), and carries real file sizes, so the planner's
+    broadcast decisions downstream rest on measured sizes.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def broadcast_row_limit(spark: SparkSession) -> int:

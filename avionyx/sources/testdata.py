@@ -34,22 +34,25 @@ def _plus_minutes(ts: Column, n: Column) -> Column:
 def flights_from_lineitem(lineitem: DataFrame) -> DataFrame:
     c = F.col
     k = c("l_orderkey") * 7 + c("l_linenumber")
-    sd = _plus_minutes(c("l_shipdate"), k * 37 % 1440)
-    sa = _plus_minutes(sd, 60 + c("l_partkey") % 240)
+    # Every timestamp is the ship date plus one integer number of minutes, so
+    # each column is a single timestamp_add (minute arithmetic on a
+    # timezone-free timestamp is exact, so sums of offsets are equivalent).
+    sd_min = k * 37 % 1440
+    sa_min = sd_min + 60 + c("l_partkey") % 240
+    ad_min = sd_min + k % 30
     ad_missing = ((k % 20 == 0) & (k % 40 != 0)) | (k % 33 == 0)
-    ad = F.when(ad_missing, F.lit(None)).otherwise(_plus_minutes(sd, k % 30))
-    aa = (
-        F.when(ad_missing, F.lit(None))
-        .when(k % 50 == 1, _plus_minutes(ad, F.lit(-30)))
-        .otherwise(_plus_minutes(sa, (k * 11) % 60 - 10))
-    )
+    ship = c("l_shipdate")
     df = lineitem.select(
         (((c("l_orderkey") * 10 + c("l_linenumber")) * 100000 + c("l_partkey")) * 10000 + c("l_suppkey")).alias("id"),
         c("l_suppkey").cast("string").alias("aircraftregistration"),
-        sd.alias("scheduleddeparture"),
-        sa.alias("scheduledarrival"),
-        ad.alias("actualdeparture"),
-        aa.alias("actualarrival"),
+        _plus_minutes(ship, sd_min).alias("scheduleddeparture"),
+        _plus_minutes(ship, sa_min).alias("scheduledarrival"),
+        F.when(ad_missing, F.lit(None)).otherwise(_plus_minutes(ship, ad_min)).alias("actualdeparture"),
+        F.when(ad_missing, F.lit(None))
+        .otherwise(
+            _plus_minutes(ship, F.when(k % 50 == 1, ad_min - 30).otherwise(sa_min + (k * 11) % 60 - 10))
+        )
+        .alias("actualarrival"),
         (k % 20 == 0).alias("cancelled"),
         F.when(k % 3 != 0, F.lit("D")).alias("delaycode"),
     )
@@ -58,12 +61,12 @@ def flights_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 def maintenance_from_orders(orders: DataFrame) -> DataFrame:
     c = F.col
-    sd = _plus_minutes(c("o_orderdate"), c("o_orderkey") * 53 % 1440)
+    sd_min = c("o_orderkey") * 53 % 1440
     length = F.when(c("o_orderkey") % 50 == 0, F.lit(-60)).otherwise(1 + c("o_orderkey") * 97 % 2880)
     df = orders.select(
         F.floor(c("o_custkey") / 15).cast("long").cast("string").alias("aircraftregistration"),
-        sd.alias("scheduleddeparture"),
-        _plus_minutes(sd, length).alias("scheduledarrival"),
+        _plus_minutes(c("o_orderdate"), sd_min).alias("scheduleddeparture"),
+        _plus_minutes(c("o_orderdate"), sd_min + length).alias("scheduledarrival"),
         (c("o_orderstatus") == "F").alias("programmed"),
     )
     return conform(df, schemas.MAINTENANCE)
