@@ -113,15 +113,18 @@ def drop_overlapping_flights(flights: DataFrame, bucket: str = "day") -> DataFra
 
 
 def br2_violations(flights: DataFrame, bucket: str = "day") -> DataFrame:
+    """One row per flagged flight id (the registration is the smallest one
+    flagged under that id, so the result is deterministic)."""
     return (
         overlapping_flights(flights, bucket)
+        .groupBy(F.col(ID).cast("string").alias("record_id"))
+        .agg(F.min(REG).alias("registration"))
         .select(
             F.lit("BR2").alias("rule"),
-            F.col(ID).cast("string").alias("record_id"),
-            F.col(REG).alias("registration"),
+            "record_id",
+            "registration",
             F.lit("overlaps the next departure of the same aircraft; flight ignored").alias("detail"),
         )
-        .dropDuplicates(["record_id"])
     )
 
 

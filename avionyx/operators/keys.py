@@ -100,4 +100,7 @@ def ensure_dimension(
     top = existing.agg(F.max(key_col).alias("m")).first()["m"] or 0  # one scalar
     cols = [key_col] + [c for c in existing.columns if c != key_col]
     keyed = assign_surrogate_keys(fresh, order_by or list(natural_key), key_col, start=int(top))
-    return keyed.select(*[F.col(c) if c in keyed.columns else F.lit(None).alias(c) for c in cols])
+    types = {f.name: f.dataType for f in existing.schema.fields}
+    return keyed.select(
+        *[F.col(c).cast(types[c]) if c in keyed.columns else F.lit(None).cast(types[c]).alias(c) for c in cols]
+    )

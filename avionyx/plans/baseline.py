@@ -55,7 +55,11 @@ def utilization_events(flights: DataFrame, maintenance: DataFrame) -> DataFrame:
     m = baseline_maintenance_measures(maintenance).select(
         "aircraftregistration",
         year_text("scheduleddeparture").alias("year"),
-        *[F.lit(0).cast("long").alias(c) for c in EVENT_COLUMNS[:5]],
+        F.lit(0).cast("long").alias("flight_us"),
+        F.lit(0).alias("cycles"),
+        F.lit(0).alias("cancellations"),
+        F.lit(0).alias("delays"),
+        F.lit(0).cast("long").alias("delay_us"),
         "scheduled_us",
         "unscheduled_us",
     )

@@ -9,9 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sources import load_test_sources
-from . import baseline, kpis
+from .. import functions as fn
+from ..operators import classify, cleaning, dimensions, facts, integrity, keys, measures
+from ..operators.joins import bounded_broadcast
+from ..session import scratch_path
+from ..sources import load_test_sources, readers
+from . import baseline, kpis, reconcile, warehouse
 from .warehouse import build_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +75,410 @@ def reporting_baseline(spark, sf_dir):
 @query()
 def reporting_per_role_baseline(spark, sf_dir):
     return baseline.reporting_per_role_baseline(_src(spark, sf_dir))
+
+
+# --- sources (S1-S5) ----------------------------------------------------------------
+
+
+def _csv_round_trip(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """Write a derived lookup as a header CSV under the shared folder, so the
+    CSV reader is exercised on data derived from the test tables."""
+    path = scratch_path(spark, name)
+    df.write.option("header", True).option("encoding", "UTF-8").csv(path)
+    return path
+
+
+@query()
+def src_aircraft_lookup(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    path = _csv_round_trip(spark, src.aircraft.drop("lookup_line"), "aircraft-lookup-csv")
+    return readers.read_aircraft_lookup(spark, path).drop("lookup_line")
+
+
+@query()
+def src_personnel(spark, sf_dir):
+    path = _csv_round_trip(spark, _src(spark, sf_dir).personnel, "personnel-csv")
+    return readers.read_personnel(spark, path)
+
+
+@query()
+def src_flights(spark, sf_dir):
+    return _src(spark, sf_dir).flights
+
+
+@query()
+def src_maintenance(spark, sf_dir):
+    return _src(spark, sf_dir).maintenance
+
+
+@query()
+def src_reports(spark, sf_dir):
+    return _src(spark, sf_dir).reports
+
+
+# --- projections and measures (P1-P21) --------------------------------------------------
+
+
+@query()
+def date_parts(spark, sf_dir):
+    f = _src(spark, sf_dir).flights
+    return f.select("id", *fn.date_parts("scheduleddeparture"))
+
+
+@query()
+def date_dim(spark, sf_dir):
+    f = _src(spark, sf_dir).flights
+    return f.select("id", fn.day_of("scheduleddeparture").alias("Full_Date"))
+
+
+@query()
+def date_code(spark, sf_dir):
+    f = _src(spark, sf_dir).flights
+    return f.select("id", fn.date_code("scheduleddeparture").alias("date_code"))
+
+
+@query()
+def flight_measures(spark, sf_dir):
+    m = measures.flight_measures(_src(spark, sf_dir).flights)
+    return m.select(
+        "id",
+        "is_cancelled",
+        fn.hours("flight_us").alias("FH"),
+        "Takeoffs",
+        "CFC",
+        "is_delayed",
+        "DFC",
+        fn.minutes("delay_us").alias("TDM"),
+    )
+
+
+@query()
+def baseline_flight_measures(spark, sf_dir):
+    m = measures.baseline_flight_measures(_src(spark, sf_dir).flights)
+    return m.select(
+        "id",
+        fn.hours("flight_us").alias("flightHours"),
+        F.col("cycles").alias("flightCycles"),
+        "cancellations",
+        "delays",
+        fn.minutes("delay_us").alias("delayedMinutes"),
+    )
+
+
+@query()
+def maintenance_measures(spark, sf_dir):
+    m = measures.maintenance_measures(_src(spark, sf_dir).maintenance)
+    return m.select(
+        "aircraftregistration",
+        "scheduleddeparture",
+        "Year",
+        "Month_Num",
+        fn.days("out_us").alias("pct_of_day"),
+        fn.days("scheduled_us").alias("scheduled_pct"),
+        fn.days("unscheduled_us").alias("unscheduled_pct"),
+    )
+
+
+@query()
+def baseline_maintenance_measures(spark, sf_dir):
+    m = measures.baseline_maintenance_measures(_src(spark, sf_dir).maintenance)
+    return m.select(
+        "aircraftregistration",
+        "scheduleddeparture",
+        fn.days("scheduled_us").alias("scheduledOutOfService"),
+        fn.days("unscheduled_us").alias("unScheduledOutOfService"),
+    )
+
+
+@query()
+def report_airport(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return measures.report_airport(src.reports, bounded_broadcast(src.personnel))
+
+
+@query()
+def classify_manufacturer(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    r = src.reports.select("pfrid", "aircraftregistration")
+    return classify.classify_manufacturer(r, src.aircraft)
+
+
+@query()
+def aircraft_per_manufacturer(spark, sf_dir):
+    return classify.aircraft_per_manufacturer(_src(spark, sf_dir).aircraft)
+
+
+# --- cleaning (Q1-Q5, W1) -------------------------------------------------------------------
+
+
+def _br1(spark, sf_dir):
+    return cleaning.swap_inverted_times(_src(spark, sf_dir).flights)
+
+
+@query()
+def br1_swap_inverted(spark, sf_dir):
+    return _br1(spark, sf_dir)
+
+
+@query()
+def next_departure(spark, sf_dir):
+    return cleaning.next_departure(_br1(spark, sf_dir))
+
+
+@query()
+def br2_drop_overlaps(spark, sf_dir):
+    return cleaning.drop_overlapping_flights(_br1(spark, sf_dir))
+
+
+@query()
+def br3_valid_reports(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return cleaning.valid_reports(src.reports, bounded_broadcast(src.aircraft))
+
+
+@query()
+def br1_violations(spark, sf_dir):
+    return cleaning.br1_violations(_src(spark, sf_dir).flights)
+
+
+@query()
+def br2_violations(spark, sf_dir):
+    return cleaning.br2_violations(_br1(spark, sf_dir))
+
+
+@query()
+def br3_violations(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return cleaning.br3_violations(src.reports, bounded_broadcast(src.aircraft))
+
+
+@query()
+def br_violation_counts(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    lookup = bounded_broadcast(src.aircraft)
+    return cleaning.violation_counts(
+        cleaning.br1_violations(src.flights),
+        cleaning.br2_violations(cleaning.swap_inverted_times(src.flights)),
+        cleaning.br3_violations(src.reports, lookup),
+    )
+
+
+# --- dimensions and keys (D1-D6) --------------------------------------------------------------
+
+
+@query()
+def dim_aircraft(spark, sf_dir):
+    return _wh(spark, sf_dir).aircrafts
+
+
+@query()
+def dim_date(spark, sf_dir):
+    return _wh(spark, sf_dir).dates
+
+
+@query()
+def dim_month(spark, sf_dir):
+    return _wh(spark, sf_dir).months
+
+
+@query()
+def surrogate_keys(spark, sf_dir):
+    """D4 on a data-dependent member set: every registration that flies."""
+    regs = (
+        _src(spark, sf_dir)
+        .flights.select(F.col("aircraftregistration").alias("registration"))
+        .filter(F.col("registration").isNotNull())
+        .distinct()
+    )
+    return keys.assign_surrogate_keys(regs, ["registration"], "key")
+
+
+@query()
+def ensure_dimension(spark, sf_dir):
+    """Extend the lookup-only Aircrafts dimension with the registrations
+    of the raw reports; returns the rows to append."""
+    src = _src(spark, sf_dir)
+    existing = dimensions.aircraft_dimension(dimensions.aircraft_members(src.aircraft))
+    candidates = src.reports.select(F.col("aircraftregistration").alias("Aircraft_Registration_Code")).filter(
+        F.col("Aircraft_Registration_Code").isNotNull()
+    )
+    return keys.ensure_dimension(existing, candidates, ["Aircraft_Registration_Code"], "Aircraft_ID")
+
+
+@query()
+def load_fact(spark, sf_dir):
+    """Append the daily fact to a stored table and read it back."""
+    path = scratch_path(spark, "warehouse")
+    wh = _wh(spark, sf_dir)
+    warehouse.load_fact(wh.flight_daily, "Flight_Operations_Daily", path)
+    return spark.read.parquet(f"{path}/Flight_Operations_Daily")
+
+
+# --- facts, key resolution, rejects (A1-A3, J2-J4) ---------------------------------------------
+
+
+@query()
+def fact_flight_daily(spark, sf_dir):
+    return _wh(spark, sf_dir).flight_daily
+
+
+@query()
+def fact_monthly(spark, sf_dir):
+    return _wh(spark, sf_dir).monthly
+
+
+@query()
+def fact_logbooks(spark, sf_dir):
+    return _wh(spark, sf_dir).logbooks
+
+
+@query()
+def resolve_flight_keys(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    r = facts.resolve_keys(wh.daily_aggregates, facts.flight_daily_lookups(wh.dates, wh.aircrafts))
+    return r.select("Full_Date", "aircraftregistration", "Date_ID", "Aircraft_ID")
+
+
+@query()
+def resolve_month_keys(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    r = facts.resolve_keys(wh.monthly_aggregates, facts.month_lookups(wh.months, wh.aircrafts))
+    return r.select("Year", "Month_Num", "aircraftregistration", "Month_ID", "Aircraft_ID")
+
+
+@query()
+def rejects_flight_daily(spark, sf_dir):
+    return _wh(spark, sf_dir).rejects_flight_daily()
+
+
+@query()
+def rejects_monthly(spark, sf_dir):
+    return _wh(spark, sf_dir).rejects_monthly()
+
+
+@query()
+def rejects_logbooks(spark, sf_dir):
+    return _wh(spark, sf_dir).rejects_logbooks()
+
+
+# --- yearly totals (A4-A8) and the source-side union (U1) -----------------------------------------
+
+
+@query()
+def yearly_flight_totals(spark, sf_dir):
+    return kpis.yearly_flight_totals(_wh(spark, sf_dir))
+
+
+@query()
+def yearly_maintenance_totals(spark, sf_dir):
+    return kpis.yearly_maintenance_totals(_wh(spark, sf_dir))
+
+
+@query()
+def yearly_utilization(spark, sf_dir):
+    return kpis.yearly_utilization(_wh(spark, sf_dir))
+
+
+@query()
+def yearly_report_totals(spark, sf_dir):
+    return kpis.yearly_report_totals(_wh(spark, sf_dir))
+
+
+@query()
+def yearly_role_totals(spark, sf_dir):
+    return kpis.yearly_role_totals(_wh(spark, sf_dir))
+
+
+@query()
+def utilization_events(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return baseline.utilization_events(src.flights, src.maintenance)
+
+
+# --- reconciliation (K7) ------------------------------------------------------------------------
+
+
+@query()
+def reconcile_utilization(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return reconcile.reconcile(
+        kpis.utilization(build_warehouse(src)),
+        baseline.utilization_baseline(src),
+        ["manufacturer", "year"],
+        reconcile.UTILIZATION_METRICS,
+    )
+
+
+@query()
+def reconcile_reporting(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return reconcile.reconcile(
+        kpis.reporting(build_warehouse(src)),
+        baseline.reporting_baseline(src),
+        ["manufacturer", "year"],
+        reconcile.REPORTING_METRICS,
+    )
+
+
+@query()
+def reconcile_reporting_per_role(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return reconcile.reconcile(
+        kpis.reporting_per_role(build_warehouse(src)),
+        baseline.reporting_per_role_baseline(src),
+        ["manufacturer", "year", "role"],
+        reconcile.REPORTING_METRICS,
+    )
+
+
+# --- integrity (C1-C5) ------------------------------------------------------------------------------
+
+
+@query()
+def check_not_null(spark, sf_dir):
+    """Daily fact rows as they would be loaded, keys looked up: the NOT NULL
+    keys of Flight_Operations_Daily fail where a key is unresolved."""
+    wh = _wh(spark, sf_dir)
+    r = facts.resolve_keys(wh.daily_aggregates, facts.flight_daily_lookups(wh.dates, wh.aircrafts))
+    bad = integrity.check_not_null(r, ["Date_ID", "Aircraft_ID"])
+    return bad.select("Full_Date", "aircraftregistration", "violated")
+
+
+@query()
+def check_unique(spark, sf_dir):
+    """Flights departing twice at the same minute with the same aircraft."""
+    f = _src(spark, sf_dir).flights
+    return integrity.check_unique(f, ["aircraftregistration", "scheduleddeparture"])
+
+
+@query()
+def check_foreign_key(spark, sf_dir):
+    """Flights of aircraft missing from the lookup."""
+    src = _src(spark, sf_dir)
+    bad = integrity.check_foreign_key(
+        src.flights, ["aircraftregistration"], bounded_broadcast(src.aircraft), ["aircraft_reg_code"]
+    )
+    return bad.select("id", "aircraftregistration")
+
+
+@query()
+def check_domain(spark, sf_dir):
+    """Declared CHECKs of the monthly summary on its candidate rows."""
+    wh = _wh(spark, sf_dir)
+    rules = integrity.warehouse_constraints()["Aircraft_Monthly_Summary"].domain
+    bad = integrity.check_domain(wh.monthly_aggregates, rules)
+    return bad.select("Year", "Month_Num", "aircraftregistration", "violated")
+
+
+@query()
+def check_length(spark, sf_dir):
+    """Declared VARCHAR lengths of the Aircrafts dimension."""
+    wh = _wh(spark, sf_dir)
+    limits = integrity.warehouse_constraints()["Aircrafts"].length
+    return integrity.check_length(wh.aircrafts, limits).select("Aircraft_ID", "violated")
+
+
+@query()
+def warehouse_checks(spark, sf_dir):
+    """Violation counts of every declared constraint on the built warehouse."""
+    return integrity.check_tables(_wh(spark, sf_dir).tables())
