@@ -482,3 +482,30 @@ def check_length(spark, sf_dir):
 def warehouse_checks(spark, sf_dir):
     """Violation counts of every declared constraint on the built warehouse."""
     return integrity.check_tables(_wh(spark, sf_dir).tables())
+
+
+# --- streaming ---------------------------------------------------------------------------------------
+
+
+@query()
+def logbook_aggregates_stream(spark, sf_dir):
+    """A3 run incrementally: the derived reports land as several parquet
+    files, a Structured Streaming query folds them in (BR3 on), and the
+    published counts are returned."""
+    from ..streaming.incremental import start_logbook_stream
+
+    src = _src(spark, sf_dir)
+    landing = scratch_path(spark, "reports-landing")
+    src.reports.repartition(4).write.parquet(landing)
+    out = scratch_path(spark, "logbook-counts")
+    q = start_logbook_stream(
+        spark,
+        landing,
+        bounded_broadcast(src.aircraft),
+        bounded_broadcast(src.personnel),
+        out,
+        scratch_path(spark, "logbook-stream-checkpoint"),
+        files_per_batch=2,
+    )
+    q.awaitTermination()
+    return spark.read.parquet(out)
