@@ -64,8 +64,8 @@ def next_departure(flights: DataFrame, bucket: str = "day") -> DataFrame:
     rows.  So the window is partitioned by (registration, time bucket), which
     bounds a window group by what one aircraft can fly in one bucket, and the
     last flight of a bucket takes the first departure of the aircraft's next
-    non-empty bucket, found by a ``lead`` over the per-bucket minima (one row
-    per aircraft and bucket).
+    non-empty bucket, found by a ``lead`` over the last rows of the buckets
+    (one row per aircraft and bucket).
 
     Flights without a departure sort last in the reference order, so they
     are never anyone's next departure that could matter and never have one:
@@ -75,23 +75,23 @@ def next_departure(flights: DataFrame, bucket: str = "day") -> DataFrame:
         ~F.coalesce(F.col(CANCELLED), F.lit(False)) & F.col(REG).isNotNull() & F.col(AD).isNotNull()
     ).select(ID, REG, AD, AA, F.date_trunc(bucket, F.col(AD)).alias("_bucket"))
 
-    w = Window.partitionBy(REG, "_bucket").orderBy(AD, ID)
-    in_bucket = flown.withColumn("_next_in_bucket", F.lead(AD).over(w)).withColumn("_rank", F.row_number().over(w))
-    # The first flight of each bucket comes from the same windowed frame, so
-    # both branches share one exchange of the flights (one scan, one shuffle).
-    bucket_firsts = in_bucket.filter(F.col("_rank") == 1).select(REG, "_bucket", F.col(AD).alias("_first"))
-    following = bucket_firsts.select(
-        REG,
-        "_bucket",
-        F.lead("_first").over(Window.partitionBy(REG).orderBy("_bucket")).alias("_next_bucket_first"),
-    )
-    return in_bucket.join(following, [REG, "_bucket"], "left").select(
+    in_bucket = flown.withColumn(
+        "_next", F.lead(AD).over(Window.partitionBy(REG, "_bucket").orderBy(AD, ID))
+    ).withColumn("_first", F.min(AD).over(Window.partitionBy(REG, "_bucket")))
+    # Rows followed by another flight of the same bucket have their answer.
+    inner = in_bucket.filter(F.col("_next").isNotNull()).select(ID, REG, AD, AA, F.col("_next").alias("next_departure"))
+    # The last row of each bucket (one per aircraft and bucket) takes the
+    # first departure of the aircraft's next non-empty bucket.  Both branches
+    # read the same exchange of the flights: one scan, one shuffle, no join.
+    last = in_bucket.filter(F.col("_next").isNull())
+    crossing = last.select(
         ID,
         REG,
         AD,
         AA,
-        F.coalesce("_next_in_bucket", "_next_bucket_first").alias("next_departure"),
+        F.lead("_first").over(Window.partitionBy(REG).orderBy("_bucket")).alias("next_departure"),
     )
+    return inner.unionByName(crossing)
 
 
 def overlapping_flights(flights: DataFrame, bucket: str = "day") -> DataFrame:
