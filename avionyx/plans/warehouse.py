@@ -90,12 +90,12 @@ def build_dimensions(src: FleetSources, daily_totals: DataFrame) -> tuple[DataFr
 
 def build_warehouse(src: FleetSources, clean: bool = True) -> Warehouse:
     s = clean_sources(src, clean)
-    totals = materialize(facts.daily_flight_totals(s.flights, keep_null_registration=True))
+    totals = materialize(facts.daily_flight_totals(s.flights, keep_null_registration=True), "daily-totals")
     aircrafts, dates, months = build_dimensions(s, totals)
     # Calendar dimensions are bounded by the calendar span; the aircraft
     # dimension grows with the data and is checked.
-    aircrafts = bounded_broadcast(aircrafts)
-    dates, months = materialize(dates), materialize(months)
+    aircrafts = bounded_broadcast(materialize(aircrafts, "dim-aircrafts"))
+    dates, months = materialize(dates, "dim-dates"), materialize(months, "dim-months")
     dates, months = F.broadcast(dates), F.broadcast(months)
 
     daily_aggr = facts.daily_flight_measures(totals)
