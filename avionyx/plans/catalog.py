@@ -509,3 +509,13 @@ def logbook_aggregates_stream(spark, sf_dir):
     )
     q.awaitTermination()
     return spark.read.parquet(out)
+
+
+@query()
+def etl_load(spark, sf_dir):
+    """The gated ETL run into a stored warehouse; rows per stored table."""
+    from . import etl
+
+    path = scratch_path(spark, "warehouse")
+    etl.load_warehouse(_src(spark, sf_dir), path, clean=True, reset=True)
+    return etl.stored_row_counts(spark, path)
