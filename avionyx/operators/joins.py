@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,5 +20,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     on sources or materialized tables, not on an expensive lazy plan.
     """
     limit = broadcast_row_limit(df.sparkSession) if max_rows is None else max_rows
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+    key = (limit,)
+    seen = _checked.get(df)
+    if seen is None or key not in seen:
+        fits = df.limit(limit + 1).count() <= limit
+        _checked.setdefault(df, {})[key] = fits
+    return F.broadcast(df) if _checked[df][key] else df
+
+
+# The size decision per DataFrame object, so that one frame used by several
+# joins is counted once.
+_checked: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
