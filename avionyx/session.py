@@ -74,8 +74,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared checkpoint folder, grouped per Spark
+    application (``<checkpoint dir>/avionyx/<application id>/...``) so that
+    the intermediate tables of one run can be removed together."""
+    app = spark.sparkContext.applicationId
+    return f"{checkpoint_dir(spark).rstrip('/')}/avionyx/{app}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
