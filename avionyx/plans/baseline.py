@@ -91,7 +91,7 @@ def utilization_baseline(src: FleetSources) -> DataFrame:
         (100 * R(safe_div("cancellations", "cycles"), 4)).alias("CNR"),
         (F.lit(100.0) - trunc_div(100 * (F.col("delays") + F.col("cancellations")), "cycles")).alias("TDR"),
         (100 * R(safe_div(minutes("delay_us"), "delays"), 2)).alias("ADD"),
-    )
+    ).orderBy(*KEYS)
 
 
 def flight_utilization_baseline(src: FleetSources) -> DataFrame:
@@ -121,10 +121,14 @@ def _rates(src: FleetSources, by_role: bool) -> DataFrame:
     rep = report_counts_baseline(src, by_role)
     util = flight_utilization_baseline(src)
     keys = KEYS + (["role"] if by_role else [])
-    return rep.join(util, KEYS).select(
-        *keys,
-        (1000 * R(safe_div("counter", hours("flight_us")), 3)).alias("RRh"),
-        (100 * R(safe_div("counter", "cycles"), 2)).alias("RRc"),
+    return (
+        rep.join(util, KEYS)
+        .select(
+            *keys,
+            (1000 * R(safe_div("counter", hours("flight_us")), 3)).alias("RRh"),
+            (100 * R(safe_div("counter", "cycles"), 2)).alias("RRc"),
+        )
+        .orderBy(*keys)
     )
 
 

@@ -1,5 +1,8 @@
 """Warehouse KPI reports (K1-K3) and the yearly totals behind them.
 
+Reports come back ordered by manufacturer, year (and role), as the reference
+orders them.
+
 Each report is two star-join aggregates per (manufacturer, year) joined on
 (manufacturer, year).  A null manufacturer never matches in that join, and a
 year present on only one side is dropped, as in an inner SQL join.
@@ -119,7 +122,7 @@ def utilization(wh) -> DataFrame:
         .cast("double")
         .alias("TDR"),
         (100 * R(safe_div("total_TDM", "total_DFC"), 2)).alias("ADD"),
-    )
+    ).orderBy(*KEYS)
 
 
 def _rates(reports: DataFrame, util: DataFrame, keys: list[str], join_keys: list[str]) -> DataFrame:
@@ -133,9 +136,9 @@ def _rates(reports: DataFrame, util: DataFrame, keys: list[str], join_keys: list
 
 def reporting(wh) -> DataFrame:
     """K2: reports per 1000 flight hours (RRh) and per 100 take-offs (RRc)."""
-    return _rates(yearly_report_totals(wh), yearly_utilization(wh), KEYS, KEYS)
+    return _rates(yearly_report_totals(wh), yearly_utilization(wh), KEYS, KEYS).orderBy(*KEYS)
 
 
 def reporting_per_role(wh) -> DataFrame:
     """K3: K2 split by reporter role; the denominators are not split."""
-    return _rates(yearly_role_totals(wh), yearly_utilization(wh), KEYS + ["role"], KEYS)
+    return _rates(yearly_role_totals(wh), yearly_utilization(wh), KEYS + ["role"], KEYS).orderBy(*KEYS, "role")

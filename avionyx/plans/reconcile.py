@@ -30,4 +30,4 @@ def reconcile(dw: DataFrame, src: DataFrame, keys: list[str], metrics: tuple[str
         F.coalesce("_in_dw", F.lit(False)).alias("in_warehouse"),
         F.coalesce("_in_src", F.lit(False)).alias("in_sources"),
     ]
-    return j.select(*cols)
+    return j.select(*cols).orderBy(*keys)

@@ -92,11 +92,11 @@ def build_warehouse(src: FleetSources, clean: bool = True) -> Warehouse:
     s = clean_sources(src, clean)
     totals = materialize(facts.daily_flight_totals(s.flights, keep_null_registration=True), "daily-totals")
     aircrafts, dates, months = build_dimensions(s, totals)
-    # Calendar dimensions are bounded by the calendar span; the aircraft
-    # dimension grows with the data and is checked.
+    # Every dimension is materialized (small, read by several joins) and
+    # broadcast only after its row count is checked.
     aircrafts = bounded_broadcast(materialize(aircrafts, "dim-aircrafts"))
-    dates, months = materialize(dates, "dim-dates"), materialize(months, "dim-months")
-    dates, months = F.broadcast(dates), F.broadcast(months)
+    dates = bounded_broadcast(materialize(dates, "dim-dates"))
+    months = bounded_broadcast(materialize(months, "dim-months"))
 
     daily_aggr = facts.daily_flight_measures(totals)
     monthly_aggr = facts.monthly_maintenance_aggregates(s.maintenance)
