@@ -14,7 +14,10 @@ the sources once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +28,8 @@ from ..operators.joins import bounded_broadcast
 from ..session import materialize
 from ..sources import FleetSources, schemas
 
+T = TypeVar("T")
+
 
 def clean_sources(src: FleetSources, clean: bool = True) -> FleetSources:
     """Q5: BR1 then BR2 on flights, BR3 on reports; maintenance is never
@@ -75,7 +80,7 @@ class Warehouse:
 
 
 def build_dimensions(src: FleetSources, daily_totals: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Keyed Aircrafts, Dates and Months from (cleaned) sources.
+    """Keyed Aircrafts, Dates and Months from (cleaned) sources (lazy).
 
     Dates come from the materialized daily totals, which keep rows of
     flights without a registration so that their days still count.
@@ -88,15 +93,33 @@ def build_dimensions(src: FleetSources, daily_totals: DataFrame) -> tuple[DataFr
     return aircrafts, dates, months
 
 
+def concurrently(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent Spark actions from driver threads so that their jobs
+    share the executors (each job alone may have few tasks)."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(j) for j in jobs]]
+
+
 def build_warehouse(src: FleetSources, clean: bool = True) -> Warehouse:
     s = clean_sources(src, clean)
-    totals = materialize(facts.daily_flight_totals(s.flights, keep_null_registration=True), "daily-totals")
-    aircrafts, dates, months = build_dimensions(s, totals)
-    # Every dimension is materialized (small, read by several joins) and
-    # broadcast only after its row count is checked.
-    aircrafts = bounded_broadcast(materialize(aircrafts, "dim-aircrafts"))
-    dates = bounded_broadcast(materialize(dates, "dim-dates"))
-    months = bounded_broadcast(materialize(months, "dim-months"))
+    lookup = bounded_broadcast(src.aircraft)
+    # Independent materializations run together: the daily totals (the
+    # cleaned flights, feeding the Dates dimension and the daily fact), the
+    # Aircrafts dimension and the Months dimension.  Every dimension is
+    # materialized (small, read by several joins) and broadcast only after its
+    # row count is checked.
+    totals, aircrafts, months = concurrently(
+        lambda: materialize(facts.daily_flight_totals(s.flights, keep_null_registration=True), "daily-totals"),
+        lambda: materialize(
+            dimensions.aircraft_dimension(dimensions.aircraft_members(lookup, s.reports)), "dim-aircrafts"
+        ),
+        lambda: materialize(dimensions.month_dimension(dimensions.month_members(s.reports, s.maintenance)), "dim-months"),
+    )
+    dates = materialize(
+        dimensions.date_dimension(totals.select("Full_Date").distinct().select("Full_Date", *date_parts("Full_Date"))),
+        "dim-dates",
+    )
+    aircrafts, dates, months = (bounded_broadcast(d) for d in (aircrafts, dates, months))
 
     daily_aggr = facts.daily_flight_measures(totals)
     monthly_aggr = facts.monthly_maintenance_aggregates(s.maintenance)
@@ -148,11 +171,15 @@ def write_warehouse(wh: Warehouse, path: str, reset: bool = True) -> None:
     replaces the dimensions, which the caller extends with
     ``keys.ensure_dimension`` beforehand."""
     root = path.rstrip("/")
-    for name, df in wh.tables().items():
+
+    def writer(name: str, df: DataFrame):
         schema = schemas.WAREHOUSE_TABLES[name]
         out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         mode = "overwrite" if (reset or name in DIMENSION_TABLES) else "append"
-        out.write.mode(mode).parquet(f"{root}/{name}")
+        return lambda: out.write.mode(mode).parquet(f"{root}/{name}")
+
+    # The six writes are independent jobs; run them together.
+    concurrently(*[writer(n, df) for n, df in wh.tables().items()])
 
 
 def read_warehouse(spark, path: str) -> Warehouse:
