@@ -53,19 +53,24 @@ def br1_violations(flights: DataFrame, dep: str = AD, arr: str = AA) -> DataFram
 # --- BR2 ---------------------------------------------------------------------
 
 
-def next_departure(flights: DataFrame, bucket: str = "day") -> DataFrame:
+def next_departure(flights: DataFrame, bucket: str | None = None, num_buckets: int | None = None) -> DataFrame:
     """For every flown (not cancelled) flight with a registration and a
     departure, the next departure of the same aircraft in (departure, id)
     order.  Returns (id, registration, actualdeparture, actualarrival,
     next_departure).
 
     A plain ``lead`` over ``partitionBy(registration)`` would put all flights
-    of one aircraft into one task; an aircraft may hold a large share of all
-    rows.  So the window is partitioned by (registration, time bucket), which
-    bounds a window group by what one aircraft can fly in one bucket, and the
-    last flight of a bucket takes the first departure of the aircraft's next
-    non-empty bucket, found by a ``lead`` over the last rows of the buckets
-    (one row per aircraft and bucket).
+    of one aircraft into one task.  Instead the flights are cut into buckets
+    that keep each aircraft's flights in order, the ``lead`` runs inside
+    (bucket, registration), and the last flight of an aircraft in a bucket
+    takes the first departure of the aircraft's next non-empty bucket, from a
+    ``lead`` over those last rows (one row per bucket and aircraft).
+
+    By default the buckets are the ranges of a range partitioning on
+    (registration, departure, id): every bucket holds about 1/num_buckets of
+    the rows whatever the key distribution, so even one aircraft (or one
+    aircraft-day) holding a third of all flights is spread over many tasks.
+    ``bucket`` ('hour', 'day', 'month', ...) uses calendar buckets instead.
 
     Flights without a departure sort last in the reference order, so they
     are never anyone's next departure that could matter and never have one:
@@ -73,16 +78,21 @@ def next_departure(flights: DataFrame, bucket: str = "day") -> DataFrame:
     """
     flown = flights.filter(
         ~F.coalesce(F.col(CANCELLED), F.lit(False)) & F.col(REG).isNotNull() & F.col(AD).isNotNull()
-    ).select(ID, REG, AD, AA, F.date_trunc(bucket, F.col(AD)).alias("_bucket"))
+    ).select(ID, REG, AD, AA)
+    if bucket is None:
+        n = num_buckets or int(flights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        flown = flown.repartitionByRange(n, REG, AD, ID).withColumn("_bucket", F.spark_partition_id())
+    else:
+        flown = flown.withColumn("_bucket", F.date_trunc(bucket, F.col(AD)))
 
     in_bucket = flown.withColumn(
-        "_next", F.lead(AD).over(Window.partitionBy(REG, "_bucket").orderBy(AD, ID))
-    ).withColumn("_first", F.min(AD).over(Window.partitionBy(REG, "_bucket")))
+        "_next", F.lead(AD).over(Window.partitionBy("_bucket", REG).orderBy(AD, ID))
+    ).withColumn("_first", F.min(AD).over(Window.partitionBy("_bucket", REG)))
     # Rows followed by another flight of the same bucket have their answer.
     inner = in_bucket.filter(F.col("_next").isNotNull()).select(ID, REG, AD, AA, F.col("_next").alias("next_departure"))
-    # The last row of each bucket (one per aircraft and bucket) takes the
-    # first departure of the aircraft's next non-empty bucket.  Both branches
-    # read the same exchange of the flights: one scan, one shuffle, no join.
+    # The last row of each (bucket, aircraft) takes the first departure of the
+    # aircraft's next non-empty bucket.  Both branches read the same exchange
+    # of the flights: one scan, no join.
     last = in_bucket.filter(F.col("_next").isNull())
     crossing = last.select(
         ID,
@@ -94,14 +104,14 @@ def next_departure(flights: DataFrame, bucket: str = "day") -> DataFrame:
     return inner.unionByName(crossing)
 
 
-def overlapping_flights(flights: DataFrame, bucket: str = "day") -> DataFrame:
+def overlapping_flights(flights: DataFrame, bucket: str | None = None) -> DataFrame:
     """Flown flights whose arrival is strictly after the next departure of the
     same aircraft (one pass, as the rule is defined)."""
     nxt = next_departure(flights, bucket)
     return nxt.filter(F.col(AA) > F.col("next_departure"))
 
 
-def drop_overlapping_flights(flights: DataFrame, bucket: str = "day") -> DataFrame:
+def drop_overlapping_flights(flights: DataFrame, bucket: str | None = None) -> DataFrame:
     """BR2: remove, from the full input, every row whose id is flagged.
 
     Cancelled flights stay unless they share a flagged id.  The anti join is
@@ -112,7 +122,7 @@ def drop_overlapping_flights(flights: DataFrame, bucket: str = "day") -> DataFra
     return flights.join(flagged, ID, "left_anti")
 
 
-def br2_violations(flights: DataFrame, bucket: str = "day") -> DataFrame:
+def br2_violations(flights: DataFrame, bucket: str | None = None) -> DataFrame:
     """One row per flagged flight id (the registration is the smallest one
     flagged under that id, so the result is deterministic)."""
     return (

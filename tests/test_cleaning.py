@@ -72,12 +72,45 @@ def test_br2_single_pass_is_stable(spark):
     assert cleaning.overlapping_flights(once).count() == 0
 
 
-def test_br2_bucket_size_does_not_change_the_result(spark):
+def test_br2_bucket_choice_does_not_change_the_result(spark):
     f = flights_df(spark, _br2_rows())
+    by_range = sorted(r.id for r in cleaning.overlapping_flights(f).collect())
     by_day = sorted(r.id for r in cleaning.overlapping_flights(f, "day").collect())
     by_hour = sorted(r.id for r in cleaning.overlapping_flights(f, "hour").collect())
     by_year = sorted(r.id for r in cleaning.overlapping_flights(f, "year").collect())
-    assert by_day == by_hour == by_year
+    assert by_range == by_day == by_hour == by_year == [1, 10, 12]
+
+
+def test_br2_hot_aircraft_is_spread_over_buckets(spark):
+    """One aircraft holds every flight: range buckets still split it, and the
+    chain of next departures crosses every bucket boundary correctly."""
+    from pyspark.sql import functions as F
+
+    n = 4000
+    base = spark.range(n).select(
+        F.col("id"),
+        F.lit("HOT").alias("aircraftregistration"),
+        (F.timestamp_seconds(F.col("id") * 600)).cast("timestamp_ntz").alias("actualdeparture"),
+    )
+    # every 7th flight runs 11 minutes, overlapping the next one (10 minutes later)
+    f = base.select(
+        "id",
+        "aircraftregistration",
+        F.col("actualdeparture").alias("scheduleddeparture"),
+        F.col("actualdeparture").alias("scheduledarrival"),
+        "actualdeparture",
+        F.expr("actualdeparture + make_dt_interval(0, 0, CASE WHEN id % 7 = 0 THEN 11 ELSE 5 END, 0)").alias(
+            "actualarrival"
+        ),
+        F.lit(False).alias("cancelled"),
+        F.lit(None).cast("string").alias("delaycode"),
+    )
+    nxt = cleaning.next_departure(f, num_buckets=8)
+    rows = {r.id: r.next_departure for r in nxt.collect()}
+    assert len(rows) == n
+    assert all(rows[i] is not None for i in range(n - 1)) and rows[n - 1] is None
+    flagged = sorted(r.id for r in cleaning.overlapping_flights(f).collect())
+    assert flagged == [i for i in range(n - 1) if i % 7 == 0]
 
 
 def test_br3_keeps_known_registrations(spark):

@@ -40,9 +40,11 @@ def test_overlap_window_is_bucketed_and_reads_flights_once(spark):
     flights = cleaning.swap_inverted_times(load_test_sources(spark, SMOKE_DIR).flights)
     df = cleaning.overlapping_flights(flights)
     p = _final_plan(df)
-    # the window over flights is partitioned by (registration, bucket), never by registration alone
+    # the window over flights is partitioned by (bucket, registration), never by registration alone,
+    # and the buckets come from a range partitioning of the flights
     parts = re.findall(r"windowspecdefinition\(([^,]+), ([^,]+), actualdeparture", p)
-    assert parts and all("_bucket" in b for _, b in parts)
+    assert parts and all("_bucket" in a + b for a, b in parts)
+    assert "rangepartitioning(aircraftregistration" in p
     assert "ReusedExchange" in p
 
 
