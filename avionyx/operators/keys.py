@@ -66,18 +66,6 @@ def assign_surrogate_keys(
     return numbered.select(key_col, *rest)
 
 
-def calendar_keys(members: DataFrame, order_by: Sequence[str | Column], key_col: str) -> DataFrame:
-    """Dense keys for a calendar dimension (days or months).
-
-    Its size is bounded by the calendar span of the data (at most 366 rows
-    per year), not by the number of facts, so one ordered window over it is
-    cheap and needs no materialization.
-    """
-    order = _cols(order_by)
-    keyed = members.withColumn(key_col, F.row_number().over(Window.orderBy(*order)).cast("int"))
-    return keyed.select(key_col, *[c for c in members.columns if c != key_col])
-
-
 def new_members(existing: DataFrame, candidates: DataFrame, natural_key: Sequence[str]) -> DataFrame:
     """Candidates whose natural key is not in ``existing`` yet (one row per key)."""
     keys = list(natural_key)
