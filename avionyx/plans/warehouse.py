@@ -139,14 +139,6 @@ def build_warehouse(src: FleetSources, clean: bool = True) -> Warehouse:
     )
 
 
-def table_schema(name: str):
-    return schemas.WAREHOUSE_TABLES[name]
-
-
-def empty_like(df: DataFrame) -> DataFrame:
-    return df.filter(F.lit(False))
-
-
 # --- D6 / D7: loading and reusing a stored warehouse ------------------------------------
 
 DIMENSION_TABLES = ("Aircrafts", "Dates", "Months")
