@@ -85,3 +85,28 @@ def test_baseline_truncates_integer_division(spark):
 
     out = spark.createDataFrame([(7, 2)], "c long, n long").select(trunc_div("c", "n").alias("t")).first().t
     assert out == 3.0
+
+
+def test_reconcile_keeps_one_sided_rows(spark):
+    from avionyx.plans import reconcile
+
+    dw = spark.createDataFrame([("Airbus", 2020, 1.0, 2.0), ("Boeing", 2020, 3.0, 4.0)], "manufacturer string, year int, RRh double, RRc double")
+    src = spark.createDataFrame(
+        [("Airbus", "2020", 1.5, 2.0), ("XY-UNK", "2020", 9.0, 9.0)], "manufacturer string, year string, RRh double, RRc double"
+    )
+    rows = {r.manufacturer: r for r in reconcile.reconcile(dw, src, ["manufacturer", "year"], ("RRh", "RRc")).collect()}
+    assert set(rows) == {"Airbus", "Boeing", "XY-UNK"}
+    assert rows["Airbus"].RRh_diff == -0.5 and rows["Airbus"].RRc_diff == 0.0
+    assert rows["Airbus"].year == "2020" and rows["Airbus"].in_warehouse and rows["Airbus"].in_sources
+    assert rows["Boeing"].in_warehouse and not rows["Boeing"].in_sources and rows["Boeing"].RRh_diff is None
+    assert rows["XY-UNK"].in_sources and not rows["XY-UNK"].in_warehouse
+
+
+def test_check_tables_lists_every_constraint(spark):
+    wh = _small_warehouse(spark)
+    out = {(r.table_name, r.kind, r.constraint_name): r.violations for r in integrity.check_tables(wh.tables()).collect()}
+    assert out[("Aircrafts", "domain", "Aircraft_Manufacturer_Class_enum")] == 0  # null class passes the CHECK
+    assert out[("Aircraft_Monthly_Summary", "domain", "ADIS_ge_0")] == 0
+    assert out[("Flight_Operations_Daily", "unique", "Date_ID+Aircraft_ID")] == 0
+    assert out[("Flight_Operations_Daily", "foreign_key", "Aircraft_ID->Aircrafts")] == 0
+    assert len(out) == 56
