@@ -66,15 +66,22 @@ class Warehouse:
 
     # --- J4 rejects ---------------------------------------------------------
 
+    def _need_aggregates(self) -> None:
+        if "Full_Date" not in self.daily_aggregates.columns:
+            raise ValueError("rejects need the grouped rows of a build; a stored warehouse does not keep them")
+
     def rejects_flight_daily(self) -> DataFrame:
+        self._need_aggregates()
         r = facts.resolve_keys(self.daily_aggregates, facts.flight_daily_lookups(self.dates, self.aircrafts))
         return facts.rejected_rows(r, facts.FLIGHT_DAILY_KEYS, ["Full_Date", facts.REG])
 
     def rejects_monthly(self) -> DataFrame:
+        self._need_aggregates()
         r = facts.resolve_keys(self.monthly_aggregates, facts.month_lookups(self.months, self.aircrafts))
         return facts.rejected_rows(r, facts.MONTHLY_KEYS, ["Year", "Month_Num", facts.REG])
 
     def rejects_logbooks(self) -> DataFrame:
+        self._need_aggregates()
         r = facts.resolve_keys(self.logbook_aggregates, facts.month_lookups(self.months, self.aircrafts))
         return facts.rejected_rows(r, facts.LOGBOOK_KEYS, ["Year", "Month_Num", "Airport", facts.REG])
 
