@@ -99,3 +99,36 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 def broadcast_row_limit(spark: SparkSession) -> int:
     value = spark.conf.get(BROADCAST_ROWS_CONF, None)
     return int(value) if value else DEFAULT_BROADCAST_ROWS
+
+
+def scale_settings(
+    largest_shuffle_bytes: float,
+    target_partition_bytes: float = 256 * 1024**2,
+    scan_partition_bytes: float = 512 * 1024**2,
+) -> dict[str, str]:
+    """Settings sized for the data volume of a run.
+
+    ``largest_shuffle_bytes`` is the biggest exchange of the build: the BR2
+    exchange of the flown flights (about 40 bytes per flight: id,
+    registration, two timestamps, bucket).  Shuffle partitions are set so
+    that each holds ``target_partition_bytes``; AQE then coalesces the small
+    exchanges (aggregates, dimensions) and splits skewed ones.  Scans use
+    large splits so that a 100 TB read is a few hundred thousand tasks.
+    """
+    partitions = max(8, int(largest_shuffle_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(int(scan_partition_bytes)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(int(target_partition_bytes)),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str], override: bool = False) -> None:
+    """Set runtime SQL settings on ``spark``; keep values the session already
+    has unless ``override``."""
+    for key, value in settings.items():
+        if override or spark.conf.get(key, None) in (None, ""):
+            spark.conf.set(key, value)

@@ -98,3 +98,13 @@ def test_matches_duckdb_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows) == digest(ocols, orows)
+
+
+def test_scale_settings_for_100_tb():
+    from avionyx.session import scale_settings
+
+    flights = 100 * 1024**4 / 100  # 100 TB of flights at about 100 bytes per row
+    s = scale_settings(flights * 40)
+    parts = int(s["spark.sql.shuffle.partitions"])
+    assert 100_000 < parts < 300_000  # about 256 MB of the BR2 exchange per partition
+    assert scale_settings(1)["spark.sql.shuffle.partitions"] == "8"
