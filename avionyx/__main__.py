@@ -83,8 +83,17 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("report")
     r.add_argument("--warehouse", required=True)
     r.add_argument("--name", choices=REPORTS, default=None)
+    for s in (r, sub.choices["baseline"]):
+        s.add_argument("--output", help="write every report, whole, as CSV under this folder")
+        s.add_argument("--rows", type=int, default=100, help="rows to preview on the console")
     a = p.parse_args(argv)
 
+    def emit(label: str, name: str, df) -> None:
+        print(f"== {name} ({label}) ==")
+        df.show(a.rows, truncate=False)
+        if a.output:
+            df.write.mode("overwrite").option("header", True).csv(f"{a.output.rstrip('/')}/{name}_{label}")
+
     spark = _session()
     if a.cmd == "etl":
         report = etl.load_warehouse(_sources(spark, a), a.warehouse, clean=not a.no_clean, reset=not a.append)
@@ -96,13 +105,11 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "report":
         wh = read_warehouse(spark, a.warehouse)
         for name in [a.name] if a.name else REPORTS:
-            print(f"== {name} (warehouse) ==")
-            getattr(kpis, name)(wh).show(1000, truncate=False)
+            emit("warehouse", name, getattr(kpis, name)(wh))
     else:
         src = _sources(spark, a)
         for name in [a.name] if a.name else REPORTS:
-            print(f"== {name} (sources) ==")
-            getattr(baseline, f"{name}_baseline")(src).show(1000, truncate=False)
+            emit("sources", name, getattr(baseline, f"{name}_baseline")(src))
     return 0
 
 

@@ -18,7 +18,8 @@ def test_cli_etl_then_reports(spark, capsys):
               "--aircraft", f"{d}/aircraft"]
     assert main(["etl", *common, "--personnel", f"{d}/personnel", "--warehouse", f"{d}/dw"]) == 0
     assert main(["report", "--warehouse", f"{d}/dw", "--name", "utilization"]) == 0
-    assert main(["baseline", *common, "--name", "reporting"]) == 0
+    assert main(["baseline", *common, "--name", "reporting", "--output", f"{d}/out"]) == 0
+    assert spark.read.option("header", True).csv(f"{d}/out/reporting_sources").count() > 0
     out = capsys.readouterr().out
     assert "== utilization (warehouse) ==" in out and "== reporting (sources) ==" in out
     assert "Airbus" in out
