@@ -140,9 +140,39 @@ def warehouse_constraints() -> dict[str, TableConstraints]:
     }
 
 
+def _row_level_counts(table: str, df: DataFrame, cons: TableConstraints) -> DataFrame | None:
+    """NOT NULL, CHECK and length violations of one table in one scan: a
+    single aggregation of conditional counts, unpivoted into rows."""
+    checks: list[tuple[str, str, Column]] = []
+    checks += [("not_null", c, F.col(c).isNull()) for c in cons.not_null]
+    checks += [("domain", n, ~F.coalesce(rule, F.lit(True))) for n, rule in cons.domain.items()]
+    checks += [("length", f"{c}<={n}", F.coalesce(F.length(c) > F.lit(n), F.lit(False))) for c, n in cons.length.items()]
+    if not checks:
+        return None
+    counts = df.agg(
+        *[F.coalesce(F.sum(F.when(bad, 1).otherwise(0)), F.lit(0)).cast("long").alias(f"_c{i}") for i, (_, _, bad) in enumerate(checks)]
+    )
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(table).alias("table_name"),
+                F.lit(kind).alias("kind"),
+                F.lit(name).alias("constraint_name"),
+                F.col(f"_c{i}").alias("violations"),
+            )
+            for i, (kind, name, _) in enumerate(checks)
+        ]
+    )
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def check_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Violation counts of every declared constraint over the given tables:
-    (table_name, kind, constraint_name, violations), zeros included."""
+    (table_name, kind, constraint_name, violations), zeros included.
+
+    Row-level checks of a table share one scan; each UNIQUE is one grouped
+    count and each FOREIGN KEY one anti join against its dimension.
+    """
     parts: list[DataFrame] = []
 
     def count(table: str, kind: str, name: str, rows: DataFrame) -> None:
@@ -159,17 +189,14 @@ def check_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
         if table not in tables:
             continue
         df = tables[table]
-        for col in cons.not_null:
-            count(table, "not_null", col, check_not_null(df, [col]))
+        row_level = _row_level_counts(table, df, cons)
+        if row_level is not None:
+            parts.append(row_level)
         for keys in cons.unique:
             count(table, "unique", "+".join(keys), check_unique(df, keys))
         for col, ref in cons.foreign:
             if ref in tables:
                 count(table, "foreign_key", f"{col}->{ref}", check_foreign_key(df, [col], tables[ref]))
-        for name, rule in cons.domain.items():
-            count(table, "domain", name, check_domain(df, {name: rule}))
-        for col, n in cons.length.items():
-            count(table, "length", f"{col}<={n}", check_length(df, {col: n}))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
