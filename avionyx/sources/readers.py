@@ -49,7 +49,9 @@ def read_aircraft_lookup(spark: SparkSession, path: str) -> DataFrame:
     """Aircraft lookup (registration, serial, model, manufacturer).
 
     ``lookup_line`` keeps the file order, which decides which of two rows with
-    the same registration wins in the Aircrafts dimension.
+    the same registration wins in the Aircrafts dimension.  It follows the
+    line order of one file (Spark may pack several files in any order), so a
+    lookup with duplicated registrations should be a single file.
     """
     return read_csv_lookup(spark, path, schemas.AIRCRAFT_LOOKUP).withColumn(
         "lookup_line", F.monotonically_increasing_id()
