@@ -54,3 +54,11 @@ def test_scans_are_pruned(spark):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", p)
     assert schemas
     assert all("props" not in s and "l_extendedprice" not in s and "o_totalprice" not in s for s in schemas)
+
+
+def test_fact_key_lookups_broadcast_the_dimensions(spark):
+    wh = build_warehouse(load_test_sources(spark, SMOKE_DIR))
+    for fact in (wh.flight_daily, wh.monthly, wh.logbooks):
+        p = _final_plan(fact)
+        assert "BroadcastHashJoin" in p
+        assert "SortMergeJoin" not in p and "ShuffledHashJoin" not in p
