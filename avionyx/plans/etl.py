@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ class LoadReport:
 def _stored(spark, root: str, name: str) -> DataFrame | None:
     try:
         return spark.read.parquet(f"{root}/{name}")
-    except Exception:  # no table yet
+    except AnalysisException:  # no table there yet
         return None
 
 
