@@ -41,6 +41,35 @@ WITH d AS (
 SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM b
 """
 
+# All links by an inverted index of the full sets, then components by repeated
+# label spreading to the smallest reachable id.
+OP6_MINHASH_NEAR_DEDUP = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) = 1 THEN ws[1] ELSE ws[i] || ' ' || ws[i + 1] END AS sh
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 1, 1))) AS i FROM w WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 80 * ((SELECT n FROM n WHERE n.doc_id = a.doc_id) + (SELECT n FROM n WHERE n.doc_id = b.doc_id) - count(*))
+), reach AS (
+  SELECT u AS doc_id, v AS other FROM links
+  UNION
+  SELECT r.doc_id, l.v FROM reach r JOIN links l ON r.other = l.u
+), c AS (
+  SELECT d.doc_id, least(d.doc_id, coalesce(min(r.other), d.doc_id)) AS component_id
+  FROM documents d LEFT JOIN reach r USING (doc_id) GROUP BY d.doc_id
+)
+SELECT c.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
+    "op6_minhash_near_dedup": OP6_MINHASH_NEAR_DEDUP,
     "op10_quality_rules": OP10_QUALITY_RULES,
 }
