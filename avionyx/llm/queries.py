@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from avionyx.llm import bpe, near_dups, quality
+from avionyx.llm import bpe, near_dups, quality, substrings
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -34,12 +34,17 @@ def op3_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op4_collinear_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_chunk_reuse": op3_bpe_chunk_reuse,
+    "op4_collinear_substrings": op4_collinear_substrings,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
