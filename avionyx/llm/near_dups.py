@@ -35,11 +35,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from avionyx.llm.components import connected_components
-from avionyx.llm.text import WORD, lower_az, slices
+from avionyx.llm.text import WORD, free_name, lower_az, slices
 from avionyx.session import materialize
 
 BANDS, ROWS = 50, 6
@@ -319,3 +319,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate component: that of the smallest id.
+
+    Rows that repeat this id keep one row, that with the smallest text.  Rows
+    without words are linked with nothing, so only exact repeats of such a row
+    go; rows with a null id can't be told apart by id and stay.
+    """
+    verdicts = near_duplicates(docs, k, percent, id_col, text_col).where("kept and doc_id is not null").select("doc_id").distinct()
+    key, rank = free_name(docs, "kept_id"), free_name(docs, "rank")
+    kept = docs.join(verdicts.select(F.col("doc_id").alias(key)), docs[f"`{id_col}`"] == F.col(key), "left_semi")
+    order = Window.partitionBy(F.col(f"`{id_col}`")).orderBy(F.col(f"`{text_col}`").asc_nulls_last())
+    one = kept.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
+    return one.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))

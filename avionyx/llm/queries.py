@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from avionyx.llm import bpe, near_dups, quality, substrings
+from avionyx.llm import bpe, latent, near_dups, quality, substrings
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -30,6 +30,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -43,6 +47,7 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_latent_decontamination": op2_latent_decontamination,
     "op3_bpe_chunk_reuse": op3_bpe_chunk_reuse,
     "op4_collinear_substrings": op4_collinear_substrings,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
