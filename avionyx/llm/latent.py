@@ -42,7 +42,7 @@ RANK, OVERSAMPLE = 96, 16
 PASSAGE = 48
 SCALES = (8, 11, 16, 23, 32, 45, 64)
 LEAST_WORDS = 8
-COSINE, VERBATIM, PARAPHRASE, ANSWER = 0.6, 0.75, 0.6, 0.8
+COSINE, VERBATIM, PARAPHRASE, ANSWER = 0.45, 0.75, 0.6, 0.8
 BLOCK_ITEMS, BLOCK_CHARS = 2048, 4_000_000
 SLICE_WORDS = 1 << 16
 SEED = 7

@@ -115,15 +115,15 @@ def signatures(low: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(padded.reshape(len(low), SIG_LONGS, 32) << shifts, axis=2).view(np.int64)
 
 
-_SKETCH = "doc_id long, n_shingles long, node long, bands array<long>, " + ", ".join(f"{s} long" for s in _SIG)
+_SKETCH = "doc_id long, text_hash long, n_shingles long, node long, bands array<long>, " + ", ".join(f"{s} long" for s in _SIG)
 
 
 def _sketches(docs: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(2).to_pylist()
             for lo, hi in slices(texts):
-                ids = batch.column(0).slice(lo, hi - lo)
+                keys = [batch.column(i).slice(lo, hi - lo) for i in (0, 1)]
                 sets = shingle_sets(texts[lo:hi], k)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 full = np.flatnonzero(sizes)
@@ -142,16 +142,16 @@ def _sketches(docs: DataFrame, k: int) -> DataFrame:
                 offsets = np.arange(0, (len(sets) + 1) * BANDS, BANDS, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids,
+                        *keys,
                         pa.array(sizes),
                         pa.array(node),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.ravel())),
                         *[pa.array(sig[:, i]) for i in range(SIG_LONGS)],
                     ],
-                    names=["doc_id", "n_shingles", "node", "bands", *_SIG],
+                    names=["doc_id", "text_hash", "n_shingles", "node", "bands", *_SIG],
                 )
 
-    return docs.mapInArrow(run, _SKETCH)
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, _SKETCH)
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -245,11 +245,12 @@ def _by_signature(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+    """``doc_id, n_shingles, component_id, kept, text_hash`` for every row of ``docs``.
 
     Documents are linked where ``100 * intersection >= percent * union`` of
     their ``k``-word shingle sets; ``component_id`` is the smallest id
-    reachable, ``kept`` marks the rows that carry it.  ``percent`` below 80
+    reachable, ``kept`` marks the rows that carry it, ``text_hash`` is the
+    xxhash64 of the text.  ``percent`` below 80
     needs more bands.
     """
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
@@ -308,7 +309,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     else:
         final = connected_components(links.unionByName(more))
 
-    labelled = rows.select("doc_id", "n_shingles", "node").join(final, "node", "left")
+    labelled = rows.select("doc_id", "text_hash", "n_shingles", "node").join(final, "node", "left")
     labelled = labelled.withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")))
     least = labelled.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     out = labelled.join(least, "component", "left")
@@ -318,19 +319,27 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
+        "text_hash",
     )
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each near-duplicate component: that of the smallest id.
 
-    Rows that repeat this id keep one row, that with the smallest text.  Rows
-    without words are linked with nothing, so only exact repeats of such a row
-    go; rows with a null id can't be told apart by id and stay.
+    Rows that repeat this id and its text keep one row.  Rows without words are
+    linked with nothing, so only exact repeats of such a row go; rows with a
+    null id can't be told apart by id and stay.
     """
-    verdicts = near_duplicates(docs, k, percent, id_col, text_col).where("kept and doc_id is not null").select("doc_id").distinct()
-    key, rank = free_name(docs, "kept_id"), free_name(docs, "rank")
-    kept = docs.join(verdicts.select(F.col("doc_id").alias(key)), docs[f"`{id_col}`"] == F.col(key), "left_semi")
-    order = Window.partitionBy(F.col(f"`{id_col}`")).orderBy(F.col(f"`{text_col}`").asc_nulls_last())
-    one = kept.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
+    key, text_key, rank = (free_name(docs, n) for n in ("kept_id", "text_key", "rank"))
+    verdicts = (
+        near_duplicates(docs, k, percent, id_col, text_col)
+        .where("kept and doc_id is not null")
+        .select(F.col("doc_id").alias(key), F.col("text_hash").alias(text_key))
+        .distinct()
+    )
+    keyed = docs.withColumns({key: F.col(f"`{id_col}`"), text_key: F.xxhash64(F.col(f"`{text_col}`"))})
+    kept = keyed.join(verdicts, [key, text_key], "left_semi")
+    order = Window.partitionBy(key, text_key).orderBy(F.lit(0))
+    one = kept.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
+    one = one.select(*[F.col(f"`{c}`") for c in docs.columns])
     return one.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))

@@ -43,7 +43,7 @@ def op4_collinear_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80).drop("text_hash")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
