@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from avionyx.llm import bpe, latent, near_dups, quality, substrings
+from avionyx.llm import bpe, language, latent, near_dups, quality, substrings, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -17,6 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = language.fold(F.col("doc_id"), 3) == 1
+    model = language.fit(docs.where(~held_out))
+    found = language.identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ledger = quality.quality_ledger(docs)
@@ -42,6 +50,15 @@ def op4_collinear_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = language.fold(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, labels.where(~held_out))
+    scored = toxicity.score_documents(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80).drop("text_hash")
 
@@ -50,6 +67,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_latent_decontamination": op2_latent_decontamination,
     "op3_bpe_chunk_reuse": op3_bpe_chunk_reuse,
     "op4_collinear_substrings": op4_collinear_substrings,
+    "op5_toxicity_grammar": op5_toxicity_grammar,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
 }
