@@ -8,15 +8,41 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from avionyx.llm import bpe, language, latent, near_dups, quality, substrings, toxicity
+from avionyx.llm import bpe, language, latent, near_dups, quality, sharding, substrings, toxicity, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
 
+# (host, path, verdict)
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign_shards(table(spark, sf_dir, "documents"), 16)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = language.fold(F.col("doc_id"), 3) == 1
@@ -69,6 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_collinear_substrings": op4_collinear_substrings,
     "op5_toxicity_grammar": op5_toxicity_grammar,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_url_filter": op7_url_filter,
+    "op8_sharding": op8_sharding,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
 }
