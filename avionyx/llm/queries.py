@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from avionyx.llm import bpe, language, latent, near_dups, quality, sharding, substrings, toxicity, url_filter
+from avionyx.llm import bpe, language, latent, near_dups, quality, sharding, substrings, toxicity, url_filter, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -64,6 +64,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -90,6 +94,7 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_normalise": op1_warc_normalise,
     "op2_latent_decontamination": op2_latent_decontamination,
     "op3_bpe_chunk_reuse": op3_bpe_chunk_reuse,
     "op4_collinear_substrings": op4_collinear_substrings,

@@ -41,6 +41,23 @@ WITH d AS (
 SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM b
 """
 
+# DuckDB has no base32: the digest is spelled from the bits of the SHA-1.
+OP1_WARC_NORMALISE = r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT h, count(*) AS n, max(page_id) AS newest, (
+    SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(('0x' || substr(g, 1, 5))::BIGINT >> (15 - 5 * k) AS INT) % 32, 1), '' ORDER BY i, k)
+    FROM (SELECT i, substr(h, 1 + 5 * i, 5) AS g, unnest([0, 1, 2, 3]) AS k FROM (SELECT unnest(generate_series(0, 7)) AS i))
+  ) AS payload_digest
+  FROM p GROUP BY h
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM p JOIN d USING (h)
+"""
+
 # All links by an inverted index of the full sets, then components by repeated
 # label spreading to the smallest reachable id.
 OP6_MINHASH_NEAR_DEDUP = r"""
@@ -70,6 +87,7 @@ FROM c LEFT JOIN n USING (doc_id)
 """
 
 ORACLE: dict[str, str] = {
+    "op1_warc_normalise": OP1_WARC_NORMALISE,
     "op6_minhash_near_dedup": OP6_MINHASH_NEAR_DEDUP,
     "op10_quality_rules": OP10_QUALITY_RULES,
 }
