@@ -22,11 +22,13 @@ null id are encoded like any other.
 from __future__ import annotations
 
 import hashlib
+import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,27 +36,27 @@ from pyspark.sql import types as T
 from avionyx.llm.text import append_column, free_name, slices
 
 WINDOW = 16
-MASK = np.uint64(0xFF)  # one border in 256 characters
+MASK = np.uint32(0xFF)  # one border in 256 characters
 LEAST_CHUNK, LONGEST_CHUNK = 32, 4096
 BLANKS = " \t\n\r"
-CACHE_CHARS = 24_000_000
-CACHE_WORDS = 400_000
+CACHE_CHARS = 6_000_000
+CACHE_WORDS = 250_000
 
-_POWERS = np.array([pow(0x100000001B3, WINDOW - 1 - i, 2**64) for i in range(WINDOW)], np.uint64)
+_POWERS = [np.uint32(pow(0x01000193, WINDOW - 1 - i, 2**32)) for i in range(WINDOW)]
 
 
 def rolling_hashes(text: str) -> np.ndarray:
     """Polynomial hash of the ``WINDOW`` characters that end at each position (from the first full window on)."""
-    x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     n = len(x) - WINDOW + 1
     if n <= 0:
-        return np.zeros(0, np.uint64)
-    h = np.zeros(n, np.uint64)
-    for i in range(WINDOW):
+        return np.zeros(0, np.uint32)
+    h = x[:n] * _POWERS[0]
+    for i in range(1, WINDOW):
         h += x[i : i + n] * _POWERS[i]
-    h ^= h >> np.uint64(33)
-    h *= np.uint64(0xFF51AFD7ED558CCD)
-    return h ^ (h >> np.uint64(29))
+    h ^= h >> np.uint32(15)
+    h *= np.uint32(0x2C1B3C6D)
+    return h ^ (h >> np.uint32(13))
 
 
 def chunks(text: str) -> list[str]:
@@ -109,16 +111,17 @@ class _Cache(dict):
 class ChunkCodec:
     """Encoder and decoder over chunks, for one tokenizer file.
 
-    A piece is a run of characters without ``BLANKS``; the ids of a text are
-    those of its pieces in order.  A piece of plain letters, digits and signs
-    goes straight to the model; one with anything the normalizer or the added
-    tokens could touch goes through the whole library.
+    The ids of a text are those of its pieces, the runs without ``BLANKS``, in
+    order.  Text of plain letters, digits and signs is cut into the
+    pre-tokenizer's parts here and each distinct part goes to the model once; a
+    piece with anything that the normalizer or the added tokens could touch goes
+    through the whole library.
     """
 
-    # ASCII, and the Latin letters whose lower case and composed form are one character
-    PLAIN = regex.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-    # the pre-tokenizer's own pattern (fixed value)
-    PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    # blanks, ASCII, and the Latin letters whose lower case and composed form are one character
+    PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
+    # the pre-tokenizer's own pattern (fixed value), over lower-cased plain characters
+    PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -130,7 +133,8 @@ class ChunkCodec:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.token = {i: t for t, i in vocabulary.items()}
         self.joins_by_space = self.tokenizer.decoder is None
-        self.words = _Cache(CACHE_WORDS)
+        self.parts = _Cache(CACHE_WORDS)
+        self.pieces = _Cache(CACHE_WORDS // 4)
         self.chunks = _Cache(CACHE_CHARS)
         self.splits_at_blanks = self._blanks_split()
         self.fast = self.splits_at_blanks and self._same_as_library()
@@ -148,50 +152,68 @@ class ChunkCodec:
         plain = [chr(c) for c in range(33, 256) if self.PLAIN.fullmatch(chr(c))]
         probes = [a + "Ab" for a in plain] + ["x" + a + "'LL" for a in plain] + ["don't12'sé"]
         try:
-            return all(self._direct(p) == self._library(p) for p in probes)
+            return all(self._plain(p)[0] == self._packed(self._library(p)) for p in probes)
         except Exception:  # a model that is not byte level refuses the mapped form
             return False
 
     _BYTES = {b: chr(b) for b in [*range(33, 127), *range(161, 173), *range(174, 256)]}
     _BYTES |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 
-    def _direct(self, piece: str) -> list[int]:
-        low = piece.lower()
-        tokenize = self.model.tokenize
-        if low.isascii():
-            if low.isalpha():
-                return [t.id for t in tokenize(low)]
-            return [t.id for part in self.PARTS.findall(low) for t in tokenize(part)]
-        table = self._BYTES
-        return [
-            t.id
-            for part in self.PARTS.findall(low)
-            for t in tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(table))
-        ]
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
+
+    def _part(self, part: str) -> tuple[bytes, str]:
+        """One lower-cased plain part, by the model itself."""
+        mapped = part if part.isascii() else part.encode().decode("latin-1").translate(self._BYTES)
+        tokens = self.model.tokenize(mapped)
+        return self._packed([t.id for t in tokens]), " ".join([t.value for t in tokens])
+
+    def _plain(self, text: str) -> tuple[bytes, str | None]:
+        """Ids and decoded text of plain characters."""
+        parts = self.PARTS.findall(text.lower())
+        if not parts:
+            return b"", None
+        cache = self.parts
+        found = list(map(cache.get, parts))
+        if None in found:
+            at = found.index(None)
+            while at >= 0:
+                value = cache.find(parts[at])
+                if value is None:
+                    value = self._part(parts[at])
+                    cache.add(parts[at], value)
+                found[at] = value
+                try:
+                    at = found.index(None, at + 1)
+                except ValueError:
+                    break
+        return b"".join([v[0] for v in found]), " ".join([v[1] for v in found])
 
     def _library(self, piece: str) -> list[int]:
         return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
-    def piece(self, piece: str) -> tuple[bytes, str | None]:
-        """Ids as little-endian 32-bit integers, and the decoded text without outer joins."""
-        found = self.words.find(piece)
-        if found is None:
-            if self.fast and "<|" not in piece and self.PLAIN.fullmatch(piece):
-                ids = self._direct(piece)
-            else:
-                ids = self._library(piece)
-            found = (np.array(ids, "<u4").tobytes(), self.decode(ids) if ids else None)
-            self.words.add(piece, found)
-        return found
-
     def decode(self, ids: list[int]) -> str:
         if self.joins_by_space:  # the library joins the tokens by blanks where a file names no decoder
             return " ".join([self.token[i] for i in ids])
         return self.tokenizer.decode(ids, skip_special_tokens=False)
 
+    def piece(self, piece: str) -> tuple[bytes, str | None]:
+        """Ids as little-endian 32-bit integers, and the decoded text (None: no ids)."""
+        if self.fast and "<|" not in piece and self.PLAIN.fullmatch(piece):
+            return self._plain(piece)
+        found = self.pieces.find(piece)
+        if found is None:
+            ids = self._library(piece)
+            found = (self._packed(ids), self.decode(ids) if ids else None)
+            self.pieces.add(piece, found)
+        return found
+
     def run(self, text: str) -> tuple[bytes, str | None]:
         """Ids and decoded text of characters that blanks close on both sides."""
-        found = [self.piece(p) for p in text.translate(_TO_SPACE).split(" ") if p]
+        if self.fast and "<|" not in text and self.PLAIN.fullmatch(text):
+            return self._plain(text)
+        found = [self.piece(p) for p in _spaced(text).split(" ") if p]
         parts = [d for _, d in found if d is not None]
         return b"".join([i for i, _ in found]), " ".join(parts) if parts else None
 
@@ -199,7 +221,7 @@ class ChunkCodec:
         """Characters before the first blank, what lies between the outer blanks, characters after the last."""
         found = self.chunks.find(chunk)
         if found is None:
-            spaced = chunk.translate(_TO_SPACE)
+            spaced = _spaced(chunk)
             first, last = spaced.find(" "), spaced.rfind(" ")
             found = (chunk, None, "") if first < 0 else (chunk[:first], self.run(chunk[first:last]), chunk[last + 1 :])
             self.chunks.add(chunk, found, len(chunk))
@@ -240,7 +262,13 @@ class ChunkCodec:
         return whole, self.decode(np.frombuffer(whole, "<u4").tolist())
 
 
-_TO_SPACE = {ord(b): " " for b in BLANKS}
+def _spaced(text: str) -> str:
+    """``text`` with every blank as a space."""
+    for b in BLANKS[1:]:
+        text = text.replace(b, " ")
+    return text
+
+
 _CODECS: dict[str, ChunkCodec] = {}
 
 
