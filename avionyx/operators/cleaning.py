@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 ID, REG = "id", "aircraftregistration"
 AD, AA = "actualdeparture", "actualarrival"
 CANCELLED = "cancelled"
@@ -53,24 +55,29 @@ def br1_violations(flights: DataFrame, dep: str = AD, arr: str = AA) -> DataFram
 # --- BR2 ---------------------------------------------------------------------
 
 
-def next_departure(flights: DataFrame, bucket: str | None = None, num_buckets: int | None = None) -> DataFrame:
+ROWS_PER_BUCKET = 2_000_000
+MIN_BUCKETS = 8
+
+
+def next_departure(flights: DataFrame, num_buckets: int | None = None) -> DataFrame:
     """For every flown (not cancelled) flight with a registration and a
     departure, the next departure of the same aircraft in (departure, id)
     order.  Returns (id, registration, actualdeparture, actualarrival,
     next_departure).
 
     A plain ``lead`` over ``partitionBy(registration)`` would put all flights
-    of one aircraft into one task.  Instead the flights are cut into buckets
-    that keep each aircraft's flights in order, the ``lead`` runs inside
-    (bucket, registration), and the last flight of an aircraft in a bucket
-    takes the first departure of the aircraft's next non-empty bucket, from a
-    ``lead`` over those last rows (one row per bucket and aircraft).
-
-    By default the buckets are the ranges of a range partitioning on
-    (registration, departure, id): every bucket holds about 1/num_buckets of
-    the rows whatever the key distribution, so even one aircraft (or one
-    aircraft-day) holding a third of all flights is spread over many tasks.
-    ``bucket`` ('hour', 'day', 'month', ...) uses calendar buckets instead.
+    of one aircraft into one task.  Instead the flights are cut into ranges of
+    (registration, departure, id), one bucket each, so every bucket holds
+    about 1/num_buckets of the rows whatever the key distribution.  The
+    ``lead`` runs inside (bucket, registration), and the last flight of an
+    aircraft in a bucket takes the first departure of the aircraft's next
+    non-empty bucket, from a ``lead`` over those last rows (one row per bucket
+    and aircraft).
+
+    Range bounds are sampled again whenever a plan runs, so the narrow
+    bucketed flights are written once and both branches read the stored
+    buckets.  The bucket count follows the number of flights
+    (``ROWS_PER_BUCKET`` each), not the session's settings.
 
     Flights without a departure sort last in the reference order, so they
     are never anyone's next departure that could matter and never have one:
@@ -79,20 +86,17 @@ def next_departure(flights: DataFrame, bucket: str | None = None, num_buckets: i
     flown = flights.filter(
         ~F.coalesce(F.col(CANCELLED), F.lit(False)) & F.col(REG).isNotNull() & F.col(AD).isNotNull()
     ).select(ID, REG, AD, AA)
-    if bucket is None:
-        n = num_buckets or int(flights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        flown = flown.repartitionByRange(n, REG, AD, ID).withColumn("_bucket", F.spark_partition_id())
-    else:
-        flown = flown.withColumn("_bucket", F.date_trunc(bucket, F.col(AD)))
-
-    in_bucket = flown.withColumn(
+    n = num_buckets or max(MIN_BUCKETS, -(-flown.count() // ROWS_PER_BUCKET))
+    bucketed = materialize(
+        flown.repartitionByRange(n, REG, AD, ID).withColumn("_bucket", F.spark_partition_id()), "flight-buckets"
+    )
+    in_bucket = bucketed.withColumn(
         "_next", F.lead(AD).over(Window.partitionBy("_bucket", REG).orderBy(AD, ID))
     ).withColumn("_first", F.min(AD).over(Window.partitionBy("_bucket", REG)))
     # Rows followed by another flight of the same bucket have their answer.
     inner = in_bucket.filter(F.col("_next").isNotNull()).select(ID, REG, AD, AA, F.col("_next").alias("next_departure"))
     # The last row of each (bucket, aircraft) takes the first departure of the
-    # aircraft's next non-empty bucket.  Both branches read the same exchange
-    # of the flights: one scan, no join.
+    # aircraft's next non-empty bucket.
     last = in_bucket.filter(F.col("_next").isNull())
     crossing = last.select(
         ID,
@@ -104,30 +108,35 @@ def next_departure(flights: DataFrame, bucket: str | None = None, num_buckets: i
     return inner.unionByName(crossing)
 
 
-def overlapping_flights(flights: DataFrame, bucket: str | None = None) -> DataFrame:
+def overlapping_flights(flights: DataFrame) -> DataFrame:
     """Flown flights whose arrival is strictly after the next departure of the
     same aircraft (one pass, as the rule is defined)."""
-    nxt = next_departure(flights, bucket)
-    return nxt.filter(F.col(AA) > F.col("next_departure"))
+    return next_departure(flights).filter(F.col(AA) > F.col("next_departure"))
+
+
+def flag_overlaps(flights: DataFrame) -> DataFrame:
+    """The (id, registration) of the overlapping flights, written once: the
+    removal and the violations both read it."""
+    return materialize(overlapping_flights(flights).select(ID, REG), "flagged-flights")
 
 
-def drop_overlapping_flights(flights: DataFrame, bucket: str | None = None) -> DataFrame:
+def drop_overlapping_flights(flights: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
     """BR2: remove, from the full input, every row whose id is flagged.
 
     Cancelled flights stay unless they share a flagged id.  The anti join is
     left to the planner: the flagged set is usually a small fraction, and AQE
     turns the join into a broadcast when its runtime size allows.
     """
-    flagged = overlapping_flights(flights, bucket).select(ID)
-    return flights.join(flagged, ID, "left_anti")
+    flagged = flag_overlaps(flights) if flagged is None else flagged
+    return flights.join(flagged.select(ID), ID, "left_anti")
 
 
-def br2_violations(flights: DataFrame, bucket: str | None = None) -> DataFrame:
+def br2_violations(flights: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
     """One row per flagged flight id (the registration is the smallest one
     flagged under that id, so the result is deterministic)."""
+    flagged = flag_overlaps(flights) if flagged is None else flagged
     return (
-        overlapping_flights(flights, bucket)
-        .groupBy(F.col(ID).cast("string").alias("record_id"))
+        flagged.groupBy(F.col(ID).cast("string").alias("record_id"))
         .agg(F.min(REG).alias("registration"))
         .select(
             F.lit("BR2").alias("rule"),

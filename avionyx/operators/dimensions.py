@@ -27,7 +27,9 @@ def aircraft_members(lookup: DataFrame, reports: DataFrame | None = None) -> Dat
     numbered in (source_rank, registration) order, so the lookup fleet gets
     the low keys.  A null or empty-cell registration cannot be a member.
     """
-    line = F.col("lookup_line") if "lookup_line" in lookup.columns else F.monotonically_increasing_id()
+    attributes = [F.col(c) for c in ("manufacturer_serial_number", "aircraft_model", "aircraft_manufacturer")]
+    # without line numbers the smallest attributes win
+    line = F.col("lookup_line") if "lookup_line" in lookup.columns else F.struct(*attributes)
     first = (
         lookup.filter(F.col("aircraft_reg_code").isNotNull())
         .groupBy(F.col("aircraft_reg_code").alias("Aircraft_Registration_Code"))

@@ -103,18 +103,29 @@ def monthly_maintenance_aggregates(maintenance: DataFrame) -> DataFrame:
 # --- A3 ----------------------------------------------------------------------
 
 
+def reporter_counts(reports: DataFrame) -> DataFrame:
+    """Reports per (Year, Month_Num, registration, reporter); reports without
+    a date or registration are not counted.  Works on a stream too."""
+    dated = reports.filter(F.col("reportingdate").isNotNull() & F.col(REG).isNotNull())
+    return dated.groupBy(
+        F.year("reportingdate").alias("Year"), F.month("reportingdate").alias("Month_Num"), REG, "reporteurid"
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+def logbook_of_reporters(counts: DataFrame, personnel: DataFrame) -> DataFrame:
+    """``reporter_counts`` summed per airport of the reporter."""
+    return (
+        report_airport(counts, personnel)
+        .groupBy("Year", "Month_Num", F.col("airport").alias("Airport"), REG)
+        .agg(F.sum("n").cast("int").alias("Log_Count"))
+    )
+
+
 def logbook_aggregates(reports: DataFrame, personnel: DataFrame) -> DataFrame:
     """A3 before key lookup: number of reports per (Year, Month_Num, Airport,
-    registration); reports without a date or registration are not counted."""
-    r = report_airport(reports, personnel).filter(
-        F.col("reportingdate").isNotNull() & F.col(REG).isNotNull()
-    )
-    return r.groupBy(
-        F.year("reportingdate").alias("Year"),
-        F.month("reportingdate").alias("Month_Num"),
-        F.col("airport").alias("Airport"),
-        REG,
-    ).agg(F.count(F.lit(1)).cast("int").alias("Log_Count"))
+    registration).  Reports are counted per reporter first, so the personnel
+    file meets counts, not raw reports."""
+    return logbook_of_reporters(reporter_counts(reports), personnel)
 
 
 # --- key resolution ------------------------------------------------------------

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
+MEMBERS_PER_RANGE = 1_000_000
+
 _PART, _BEFORE = "_key_part", "_key_before"
 
 
@@ -39,14 +41,16 @@ def assign_surrogate_keys(
 ) -> DataFrame:
     """Number ``members`` 1.., (plus ``start``) in ``order_by`` order, which
     must be a total order (the natural key).  The key comes first, as an int.
+    The number of ranges, and so of files, follows the number of members.
     """
-    spark = members.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if num_partitions is None:
+        members = materialize(members, "members")
+        num_partitions = max(1, -(-members.count() // MEMBERS_PER_RANGE))
     order = _cols(order_by)
     # The partition id is stored as a column, so the numbering below does not
     # depend on how the materialized table is split when read back.
     ranged = materialize(
-        members.repartitionByRange(n, *order).withColumn(_PART, F.spark_partition_id()), "surrogate-keys"
+        members.repartitionByRange(num_partitions, *order).withColumn(_PART, F.spark_partition_id()), "surrogate-keys"
     )
 
     sizes = ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_n"))

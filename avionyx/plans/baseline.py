@@ -24,6 +24,7 @@ from ..operators.classify import classify_manufacturer
 from ..operators.measures import baseline_flight_measures, baseline_maintenance_measures
 from ..sources import FleetSources
 
+REG = "aircraftregistration"
 KEYS = ["manufacturer", "year"]
 DAYS_PER_YEAR = 365.0
 
@@ -67,11 +68,20 @@ def utilization_events(flights: DataFrame, maintenance: DataFrame) -> DataFrame:
 
 
 def utilization_baseline(src: FleetSources) -> DataFrame:
-    """K4 (A9): per (manufacturer, year) over the union of flights and maintenance."""
-    events = classify_manufacturer(utilization_events(src.flights, src.maintenance), src.aircraft)
-    g = events.groupBy(*KEYS).agg(
-        F.countDistinct("aircraftregistration").alias("n"),
-        *[F.sum(c).alias(c) for c in EVENT_COLUMNS],
+    """K4 (A9): per (manufacturer, year) over the union of flights and maintenance.
+
+    Raw rows are summed per (registration, year) first; only these few rows
+    meet the lookup, and one of them is one aircraft of its year.
+    """
+    per_aircraft = (
+        utilization_events(src.flights, src.maintenance)
+        .groupBy(REG, "year")
+        .agg(*[F.sum(c).alias(c) for c in EVENT_COLUMNS])
+    )
+    g = (
+        classify_manufacturer(per_aircraft, src.aircraft)
+        .groupBy(*KEYS)
+        .agg(F.count(REG).alias("n"), *[F.sum(c).alias(c) for c in EVENT_COLUMNS])
     )
     fh = R(safe_div(hours("flight_us"), "n"), 2)
     takeoff = R(trunc_div("cycles", "n"), 2)
@@ -96,25 +106,25 @@ def utilization_baseline(src: FleetSources) -> DataFrame:
 
 def flight_utilization_baseline(src: FleetSources) -> DataFrame:
     """A10: per (manufacturer, year) flown microseconds and cycles of the flights."""
-    f = baseline_flight_measures(src.flights).select(
-        "aircraftregistration", year_text("scheduleddeparture").alias("year"), "flight_us", "cycles"
-    )
-    return (
-        classify_manufacturer(f, src.aircraft)
-        .groupBy(*KEYS)
-        .agg(F.sum("flight_us").alias("flight_us"), F.sum("cycles").alias("cycles"))
+    sums = [F.sum("flight_us").alias("flight_us"), F.sum("cycles").alias("cycles")]
+    per_aircraft = (
+        baseline_flight_measures(src.flights)
+        .groupBy(REG, year_text("scheduleddeparture").alias("year"))
+        .agg(*sums)
     )
+    return classify_manufacturer(per_aircraft, src.aircraft).groupBy(*KEYS).agg(*sums)
 
 
 def report_counts_baseline(src: FleetSources, by_role: bool = False) -> DataFrame:
     """Number of raw reports per (manufacturer, year[, recorded role])."""
-    r = src.reports.select(
-        "aircraftregistration",
-        year_text("reportingdate").alias("year"),
-        F.col("reporteurclass").alias("role"),
+    role = ["role"] if by_role else []
+    per_aircraft = (
+        src.reports.select(REG, year_text("reportingdate").alias("year"), F.col("reporteurclass").alias("role"))
+        .groupBy(REG, "year", *role)
+        .agg(F.count(F.lit(1)).alias("counter"))
     )
-    keys = KEYS + (["role"] if by_role else [])
-    return classify_manufacturer(r, src.aircraft).groupBy(*keys).agg(F.count(F.lit(1)).alias("counter"))
+    classified = classify_manufacturer(per_aircraft, src.aircraft)
+    return classified.groupBy(*KEYS, *role).agg(F.sum("counter").alias("counter"))
 
 
 def _rates(src: FleetSources, by_role: bool) -> DataFrame:

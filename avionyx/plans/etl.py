@@ -5,27 +5,38 @@ stored warehouse, with the violation and reject tables next to it.
 interactively); ``reset`` rebuilds the warehouse from scratch, otherwise the
 stored dimensions are extended with ``ensure_dimension`` (existing keys kept)
 and the new facts are appended.  The load is gated on the declared
-constraints: a violation stops it before anything is written, as a failing
-bulk insert would, and the error names the failed checks.
+constraints, and an appended fact row whose primary key is stored already
+breaks one: a violation stops the load before anything is published, as a
+failing bulk insert would, and the error names the failed checks.
+
+An appended load must cover closed periods (or other aircraft): the overlap
+rule BR2 sees the flights of its own load only, and a day or month whose facts
+are stored can't be added to.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import cleaning, facts, integrity, keys
+from ..operators import cleaning, facts, keys
 from ..operators.joins import bounded_broadcast
 from ..session import materialize
 from ..sources import FleetSources, schemas
-from .warehouse import Warehouse, build_warehouse, write_warehouse
-
+from . import store
+from .warehouse import (
+    DIMENSION_TABLES,
+    BuiltWarehouse,
+    ConstraintViolation,
+    Warehouse,
+    build_warehouse,
+    gate,
+    write_warehouse,
+)
 
-class ConstraintViolation(RuntimeError):
-    pass
+__all__ = ["ConstraintViolation", "LoadReport", "load_warehouse", "stored_row_counts"]
 
 
 @dataclass(frozen=True)
@@ -36,22 +47,17 @@ class LoadReport:
     rejects: dict[str, DataFrame]
 
 
-def _stored(spark, root: str, name: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{root}/{name}")
-    except AnalysisException:  # no table there yet
-        return None
-
-
 def _extend(existing: DataFrame, fresh: DataFrame, natural: list[str], key: str) -> DataFrame:
     """Existing members keep their keys; new natural keys get max(key)+1.."""
     members = fresh.drop(key)
     added = keys.ensure_dimension(existing, members, natural, key)
-    return materialize(existing.unionByName(added), f"dim-{key}")
+    return bounded_broadcast(materialize(existing.unionByName(added), f"dim-{key}"))
 
 
-def _rekey(wh: Warehouse, aircrafts: DataFrame, dates: DataFrame, months: DataFrame) -> Warehouse:
-    aircrafts, dates, months = (bounded_broadcast(d) for d in (aircrafts, dates, months))
+def _rekey(wh: BuiltWarehouse, stored: dict[str, DataFrame]) -> Warehouse:
+    aircrafts = _extend(stored["Aircrafts"], wh.aircrafts, ["Aircraft_Registration_Code"], "Aircraft_ID")
+    dates = _extend(stored["Dates"], wh.dates, ["Full_Date"], "Date_ID")
+    months = _extend(stored["Months"], wh.months, ["Year", "Month_Num"], "Month_ID")
     return Warehouse(
         aircrafts=aircrafts,
         dates=dates,
@@ -68,56 +74,46 @@ def _rekey(wh: Warehouse, aircrafts: DataFrame, dates: DataFrame, months: DataFr
 def load_warehouse(src: FleetSources, path: str, clean: bool = True, reset: bool = True) -> LoadReport:
     spark = src.flights.sparkSession
     root = path.rstrip("/")
-    wh = build_warehouse(src, clean=clean)
-
-    if not reset:
-        old = {n: _stored(spark, root, n) for n in ("Aircrafts", "Dates", "Months")}
-        if all(v is not None for v in old.values()):
-            wh = _rekey(
-                wh,
-                _extend(old["Aircrafts"], wh.aircrafts, ["Aircraft_Registration_Code"], "Aircraft_ID"),
-                _extend(old["Dates"], wh.dates, ["Full_Date"], "Date_ID"),
-                _extend(old["Months"], wh.months, ["Year", "Month_Num"], "Month_ID"),
-            )
-
-    checks = materialize(integrity.check_tables(wh.tables()), "load-checks")
-    failed = checks.filter(F.col("violations") > 0).collect()  # one row per failed constraint, bounded
-    if failed:
-        names = ", ".join(f"{r.table_name}.{r.constraint_name}={r.violations}" for r in failed)
-        raise ConstraintViolation(f"warehouse load stopped, constraints violated: {names}")
-
-    write_warehouse(wh, root, reset=reset)
+    before = None if reset else store.published(spark, root)
+    stored = {} if before is None else {t: before.read(spark, t) for t in schemas.WAREHOUSE_TABLES if t in before.folders}
+    absent = [t for t in DIMENSION_TABLES if t not in stored]
+    if before is not None and absent:
+        raise ValueError(f"the warehouse under {root} lacks {', '.join(absent)}; facts can't be appended without their dimensions")
+
+    swapped = cleaning.swap_inverted_times(src.flights)
+    flagged = cleaning.flag_overlaps(swapped) if clean else None
+    built = build_warehouse(src, clean, flagged).prepared()
+    wh = _rekey(built, stored) if before is not None else built
+    checks = gate(wh.tables(), stored)
+
     lookup = bounded_broadcast(src.aircraft)
     violations = (
         cleaning.br1_violations(src.flights)
-        .unionByName(cleaning.br2_violations(cleaning.swap_inverted_times(src.flights)))
+        .unionByName(cleaning.br2_violations(swapped, flagged))
         .unionByName(cleaning.br3_violations(src.reports, lookup))
         if clean
         else spark.createDataFrame([], "rule string, record_id string, registration string, detail string")
     )
-    violations.write.mode("overwrite").parquet(f"{root}/_violations")
     rejects = {
         "Flight_Operations_Daily": wh.rejects_flight_daily(),
         "Aircraft_Monthly_Summary": wh.rejects_monthly(),
         "Logbooks": wh.rejects_logbooks(),
     }
-    for name, df in rejects.items():
-        df.write.mode("overwrite").parquet(f"{root}/_rejects/{name}")
+    more = {"_violations": violations} | {f"_rejects_{n}": df for n, df in rejects.items()}
+    now = write_warehouse(wh, root, reset=reset, more=more)
     return LoadReport(
         path=root,
         checks=checks,
-        violations=spark.read.parquet(f"{root}/_violations"),
-        rejects={n: spark.read.parquet(f"{root}/_rejects/{n}") for n in rejects},
+        violations=now.read(spark, "_violations"),
+        rejects={n: now.read(spark, f"_rejects_{n}") for n in rejects},
     )
 
 
 def stored_row_counts(spark, path: str) -> DataFrame:
     """Rows per stored warehouse table: (table_name, rows)."""
-    root = path.rstrip("/")
+    now = store.published(spark, path)
     parts = [
-        spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("table_name"), "rows"
-        )
+        now.read(spark, name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
         for name in schemas.WAREHOUSE_TABLES
     ]
     out = parts[0]

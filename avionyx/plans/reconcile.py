@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import baseline, kpis
+
 UTILIZATION_METRICS = ("FH", "TakeOff", "ADOSS", "ADOSU", "ADOS", "ADIS", "DU", "DC", "DYR", "CNR", "TDR", "ADD")
 REPORTING_METRICS = ("RRh", "RRc")
 
@@ -31,3 +33,10 @@ def reconcile(dw: DataFrame, src: DataFrame, keys: list[str], metrics: tuple[str
         F.coalesce("_in_src", F.lit(False)).alias("in_sources"),
     ]
     return j.select(*cols).orderBy(*keys)
+
+
+def reconcile_report(name: str, wh, src) -> DataFrame:
+    """The named report from a warehouse beside the same from the sources."""
+    keys = ["manufacturer", "year"] + (["role"] if name == "reporting_per_role" else [])
+    metrics = UTILIZATION_METRICS if name == "utilization" else REPORTING_METRICS
+    return reconcile(getattr(kpis, name)(wh), getattr(baseline, f"{name}_baseline")(src), keys, metrics)

@@ -1,15 +1,15 @@
 """Build the star schema from the sources: clean -> dimensions -> facts.
 
-``build_warehouse`` returns lazily planned fact frames over materialized
-dimensions.  The dimensions are small compared with the facts but not
-assumed tiny: each is hinted for broadcast only after a row-count check.
+``build_warehouse`` returns a warehouse whose tables are built when they are
+first asked for, each once.  The dimensions are small compared with the facts
+but not assumed tiny: each is materialized and hinted for broadcast only after
+its size is measured.
 
 Plan shape per fact: one scan of the source with pruned columns, one
 shuffle for the group-by (partial aggregation map-side), then broadcast
 joins to the dimensions (or shuffle joins when a dimension is too large).
-The daily flight totals are materialized once because both the Dates
-dimension and the daily fact are derived from them; everything else reads
-the sources once.
+The grouped rows of each fact are materialized once: the fact, its rejects and
+the checks all read them.
 """
 
 from __future__ import annotations
@@ -17,42 +17,38 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 from typing import TypeVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import date_parts
-from ..operators import cleaning, dimensions, facts
+from ..operators import cleaning, dimensions, facts, integrity
 from ..operators.joins import bounded_broadcast
 from ..session import materialize
 from ..sources import FleetSources, schemas
+from . import store
 
 T = TypeVar("T")
 
 
-def clean_sources(src: FleetSources, clean: bool = True) -> FleetSources:
+class ConstraintViolation(RuntimeError):
+    """A load broke declared constraints; nothing was published."""
+
+
+def clean_sources(src: FleetSources, clean: bool = True, flagged: DataFrame | None = None) -> FleetSources:
     """Q5: BR1 then BR2 on flights, BR3 on reports; maintenance is never
     cleaned.  With ``clean=False`` the sources pass through unchanged."""
     if not clean:
         return src
-    flights = cleaning.drop_overlapping_flights(cleaning.swap_inverted_times(src.flights))
+    flights = cleaning.drop_overlapping_flights(cleaning.swap_inverted_times(src.flights), flagged)
     reports = cleaning.valid_reports(src.reports, bounded_broadcast(src.aircraft))
     return src._replace(flights=flights, reports=reports)
 
 
-@dataclass(frozen=True)
-class Warehouse:
-    aircrafts: DataFrame
-    dates: DataFrame
-    months: DataFrame
-    flight_daily: DataFrame
-    monthly: DataFrame
-    logbooks: DataFrame
-    # Grouped rows before key lookup, for the reject tables.
-    daily_aggregates: DataFrame
-    monthly_aggregates: DataFrame
-    logbook_aggregates: DataFrame
+class WarehouseTables:
+    """The six tables by name, and the reject tables of the grouped rows."""
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -86,18 +82,96 @@ class Warehouse:
         return facts.rejected_rows(r, facts.LOGBOOK_KEYS, ["Year", "Month_Num", "Airport", facts.REG])
 
 
-def build_dimensions(src: FleetSources, daily_totals: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Keyed Aircrafts, Dates and Months from (cleaned) sources (lazy).
+@dataclass(frozen=True)
+class Warehouse(WarehouseTables):
+    aircrafts: DataFrame
+    dates: DataFrame
+    months: DataFrame
+    flight_daily: DataFrame
+    monthly: DataFrame
+    logbooks: DataFrame
+    # Grouped rows before key lookup, for the reject tables.
+    daily_aggregates: DataFrame
+    monthly_aggregates: DataFrame
+    logbook_aggregates: DataFrame
+
 
-    Dates come from the materialized daily totals, which keep rows of
-    flights without a registration so that their days still count.
-    """
-    aircrafts = dimensions.aircraft_dimension(dimensions.aircraft_members(bounded_broadcast(src.aircraft), src.reports))
-    dates = dimensions.date_dimension(
-        daily_totals.select("Full_Date").distinct().select("Full_Date", *date_parts("Full_Date"))
-    )
-    months = dimensions.month_dimension(dimensions.month_members(src.reports, src.maintenance))
-    return aircrafts, dates, months
+class BuiltWarehouse(WarehouseTables):
+    """Tables of one build, each made when first asked for."""
+
+    def __init__(self, src: FleetSources, clean: bool = True, flagged: DataFrame | None = None):
+        self._raw, self._clean, self._flagged = src, clean, flagged
+
+    @cached_property
+    def _flights(self) -> DataFrame:
+        if not self._clean:
+            return self._raw.flights
+        return cleaning.drop_overlapping_flights(cleaning.swap_inverted_times(self._raw.flights), self._flagged)
+
+    @cached_property
+    def _reports(self) -> DataFrame:
+        return cleaning.valid_reports(self._raw.reports, self._lookup) if self._clean else self._raw.reports
+
+    @cached_property
+    def _lookup(self) -> DataFrame:
+        return bounded_broadcast(self._raw.aircraft)
+
+    @cached_property
+    def _daily_totals(self) -> DataFrame:
+        """Feeds the Dates dimension and the daily fact; keeps rows of flights
+        without a registration so that their days still count."""
+        return materialize(facts.daily_flight_totals(self._flights, keep_null_registration=True), "daily-totals")
+
+    @cached_property
+    def aircrafts(self) -> DataFrame:
+        members = dimensions.aircraft_members(self._lookup, self._reports)
+        return bounded_broadcast(materialize(dimensions.aircraft_dimension(members), "dim-aircrafts"))
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        days = self._daily_totals.select("Full_Date").distinct().select("Full_Date", *date_parts("Full_Date"))
+        return bounded_broadcast(materialize(dimensions.date_dimension(days), "dim-dates"))
+
+    @cached_property
+    def months(self) -> DataFrame:
+        members = dimensions.month_members(self._reports, self._raw.maintenance)
+        return bounded_broadcast(materialize(dimensions.month_dimension(members), "dim-months"))
+
+    @cached_property
+    def daily_aggregates(self) -> DataFrame:
+        return facts.daily_flight_measures(self._daily_totals)
+
+    @cached_property
+    def monthly_aggregates(self) -> DataFrame:
+        return materialize(facts.monthly_maintenance_aggregates(self._raw.maintenance), "monthly-totals")
+
+    @cached_property
+    def logbook_aggregates(self) -> DataFrame:
+        counts = facts.logbook_aggregates(self._reports, bounded_broadcast(self._raw.personnel))
+        return materialize(counts, "logbook-totals")
+
+    @cached_property
+    def flight_daily(self) -> DataFrame:
+        return facts.flight_daily_fact(self.daily_aggregates, self.dates, self.aircrafts)
+
+    @cached_property
+    def monthly(self) -> DataFrame:
+        return facts.monthly_fact(self.monthly_aggregates, self.months, self.aircrafts)
+
+    @cached_property
+    def logbooks(self) -> DataFrame:
+        return facts.logbook_fact(self.logbook_aggregates, self.months, self.aircrafts)
+
+    def prepared(self) -> BuiltWarehouse:
+        """Materialize what all six tables need, independent parts together."""
+        concurrently(
+            lambda: self.dates,
+            lambda: self.aircrafts,
+            lambda: self.months,
+            lambda: self.monthly_aggregates,
+            lambda: self.logbook_aggregates,
+        )
+        return self
 
 
 def concurrently(*jobs: Callable[[], T]) -> list[T]:
@@ -107,43 +181,8 @@ def concurrently(*jobs: Callable[[], T]) -> list[T]:
         return [f.result() for f in [pool.submit(j) for j in jobs]]
 
 
-def build_warehouse(src: FleetSources, clean: bool = True) -> Warehouse:
-    s = clean_sources(src, clean)
-    lookup = bounded_broadcast(src.aircraft)
-    # Independent materializations run together: the daily totals (the
-    # cleaned flights, feeding the Dates dimension and the daily fact), the
-    # Aircrafts dimension and the Months dimension.  Every dimension is
-    # materialized (small, read by several joins) and broadcast only after its
-    # row count is checked.
-    totals, aircrafts, months = concurrently(
-        lambda: materialize(facts.daily_flight_totals(s.flights, keep_null_registration=True), "daily-totals"),
-        lambda: materialize(
-            dimensions.aircraft_dimension(dimensions.aircraft_members(lookup, s.reports)), "dim-aircrafts"
-        ),
-        lambda: materialize(dimensions.month_dimension(dimensions.month_members(s.reports, s.maintenance)), "dim-months"),
-    )
-    dates = materialize(
-        dimensions.date_dimension(totals.select("Full_Date").distinct().select("Full_Date", *date_parts("Full_Date"))),
-        "dim-dates",
-    )
-    aircrafts, dates, months = (bounded_broadcast(d) for d in (aircrafts, dates, months))
-
-    daily_aggr = facts.daily_flight_measures(totals)
-    monthly_aggr = facts.monthly_maintenance_aggregates(s.maintenance)
-    personnel = bounded_broadcast(s.personnel)
-    logbook_aggr = facts.logbook_aggregates(s.reports, personnel)
-
-    return Warehouse(
-        aircrafts=aircrafts,
-        dates=dates,
-        months=months,
-        flight_daily=facts.flight_daily_fact(daily_aggr, dates, aircrafts),
-        monthly=facts.monthly_fact(monthly_aggr, months, aircrafts),
-        logbooks=facts.logbook_fact(logbook_aggr, months, aircrafts),
-        daily_aggregates=daily_aggr,
-        monthly_aggregates=monthly_aggr,
-        logbook_aggregates=logbook_aggr,
-    )
+def build_warehouse(src: FleetSources, clean: bool = True, flagged: DataFrame | None = None) -> BuiltWarehouse:
+    return BuiltWarehouse(src, clean, flagged)
 
 
 # --- D6 / D7: loading and reusing a stored warehouse ------------------------------------
@@ -152,40 +191,81 @@ DIMENSION_TABLES = ("Aircrafts", "Dates", "Months")
 FACT_TABLES = ("Flight_Operations_Daily", "Aircraft_Monthly_Summary", "Logbooks")
 
 
-def load_fact(fact: DataFrame, table: str, path: str) -> None:
-    """Append fact rows to a stored table, columns in the declared order.
-
-    Run the integrity checks first (``operators.integrity``); an append is
-    not idempotent, exactly like a bulk insert.
-    """
-    schema = schemas.WAREHOUSE_TABLES[table]
-    fact.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("append").parquet(
-        f"{path.rstrip('/')}/{table}"
-    )
-
-
-def write_warehouse(wh: Warehouse, path: str, reset: bool = True) -> None:
-    """Store all six tables under ``path``.  ``reset=True`` replaces what
-    is there (dimensions and facts); ``reset=False`` appends the facts and
-    replaces the dimensions, which the caller extends with
-    ``keys.ensure_dimension`` beforehand."""
-    root = path.rstrip("/")
+def primary_key(table: str) -> list[str]:
+    return list(integrity.warehouse_constraints()[table].unique[0])
+
+
+def gate(tables: dict[str, DataFrame], stored: dict[str, DataFrame]) -> DataFrame:
+    """Check new tables and the primary keys of their facts against the stored
+    facts; raises ``ConstraintViolation``, else returns the check counts."""
+    counts = integrity.check_tables(tables)
+    for table in FACT_TABLES:
+        if table in tables and table in stored:
+            key = primary_key(table)
+            again = tables[table].join(stored[table].select(*key), key, "left_semi")
+            counts = counts.unionByName(
+                again.agg(F.count(F.lit(1)).alias("violations")).select(
+                    F.lit(table).alias("table_name"),
+                    F.lit("unique").alias("kind"),
+                    F.lit("+".join(key) + " already stored").alias("constraint_name"),
+                    "violations",
+                )
+            )
+    checks = materialize(counts, "load-checks")
+    failed = checks.filter(F.col("violations") > 0).collect()  # one row per failed constraint, bounded
+    if failed:
+        names = ", ".join(f"{r.table_name}.{r.constraint_name}={r.violations}" for r in failed)
+        raise ConstraintViolation(f"warehouse load stopped, constraints violated: {names}")
+    return checks
+
+
+def _declared(name: str, df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.WAREHOUSE_TABLES[name].fields])
+
+
+def load_fact(fact: DataFrame, table: str, path: str) -> store.Published:
+    """Append fact rows to the stored warehouse under ``path``, columns in
+    the declared order.  Rows that break a constraint, or repeat a stored
+    primary key, stop the load before anything is published."""
+    spark, root = fact.sparkSession, path.rstrip("/")
+    before = store.published(spark, root)
+    stored = {t: before.read(spark, t) for t in before.folders} if before else {}
+    dims = {t: df for t, df in stored.items() if t in DIMENSION_TABLES}
+    gate({**dims, table: fact}, stored)
+    folder = f"{store.new_folder(root, before)}/{table}"
+    _declared(table, fact).write.parquet(f"{root}/{folder}")
+    folders = dict(before.folders) if before else {}
+    folders[table] = [*folders.get(table, []), folder]
+    return store.publish(spark, root, before, folders)
+
+
+def write_warehouse(wh: WarehouseTables, path: str, reset: bool = True, more: dict[str, DataFrame] | None = None) -> store.Published:
+    """Store all six tables, and ``more`` tables of this load, as a new
+    version under ``path``.  ``reset=True`` starts afresh; ``reset=False`` adds
+    the facts to the stored ones and replaces the dimensions, which the caller
+    extends with ``keys.ensure_dimension`` beforehand."""
+    spark, root = wh.aircrafts.sparkSession, path.rstrip("/")
+    before = store.published(spark, root)
+    folder = store.new_folder(root, before)
+    tables = {n: _declared(n, df) for n, df in wh.tables().items()} | dict(more or {})
 
     def writer(name: str, df: DataFrame):
-        schema = schemas.WAREHOUSE_TABLES[name]
-        out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        mode = "overwrite" if (reset or name in DIMENSION_TABLES) else "append"
-        return lambda: out.write.mode(mode).parquet(f"{root}/{name}")
+        return lambda: df.write.parquet(f"{root}/{folder}/{name}")
 
-    # The six writes are independent jobs; run them together.
-    concurrently(*[writer(n, df) for n, df in wh.tables().items()])
+    # The writes are independent jobs; run them together.  One manifest publishes them.
+    concurrently(*[writer(n, df) for n, df in tables.items()])
+    old = before.folders if before and not reset else {}
+    folders = {n: [*(old.get(n, []) if n in FACT_TABLES else []), f"{folder}/{n}"] for n in tables}
+    return store.publish(spark, root, before, folders)
 
 
 def read_warehouse(spark, path: str) -> Warehouse:
     """D7 (reuse): open a stored warehouse.  Dimensions are broadcast after a
     size check; the pre-lookup aggregates are not stored and come back empty."""
-    root = path.rstrip("/")
-    t = {name: spark.read.parquet(f"{root}/{name}") for name in schemas.WAREHOUSE_TABLES}
+    now = store.published(spark, path)
+    if now is None:
+        raise ValueError(f"no warehouse is published under {path}")
+    t = {name: now.read(spark, name) for name in schemas.WAREHOUSE_TABLES}
     empty = spark.createDataFrame([], "x int")
     return Warehouse(
         aircrafts=bounded_broadcast(t["Aircrafts"]),

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 BROADCAST_ROWS_CONF = "avionyx.broadcast.maxRows"
+BROADCAST_BYTES_CONF = "avionyx.broadcast.maxBytes"
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 128 * 1024**2
 JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
@@ -53,6 +55,8 @@ def _is_local(spark: SparkSession) -> bool:
 def _ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if current:
+        if current.startswith(("file:", "/")) and not _is_local(spark):
+            raise RuntimeError(f"{CHECKPOINT_CONF}={current} is a folder of one machine; name one every executor can reach.")
         return current
     if not _is_local(spark):
         raise RuntimeError(
@@ -96,39 +100,14 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def broadcast_row_limit(spark: SparkSession) -> int:
-    value = spark.conf.get(BROADCAST_ROWS_CONF, None)
-    return int(value) if value else DEFAULT_BROADCAST_ROWS
+def broadcast_limits(spark: SparkSession) -> tuple[int, int]:
+    """Most rows and bytes of a table that a join may broadcast."""
+    rows, size = (spark.conf.get(c, None) for c in (BROADCAST_ROWS_CONF, BROADCAST_BYTES_CONF))
+    return int(rows or DEFAULT_BROADCAST_ROWS), int(size or DEFAULT_BROADCAST_BYTES)
 
 
-def scale_settings(
-    largest_shuffle_bytes: float,
-    target_partition_bytes: float = 256 * 1024**2,
-    scan_partition_bytes: float = 512 * 1024**2,
-) -> dict[str, str]:
-    """Settings sized for the data volume of a run.
-
-    ``largest_shuffle_bytes`` is the biggest exchange of the build: the BR2
-    exchange of the flown flights (about 40 bytes per flight: id,
-    registration, two timestamps, bucket).  Shuffle partitions are set so
-    that each holds ``target_partition_bytes``; AQE then coalesces the small
-    exchanges (aggregates, dimensions) and splits skewed ones.  Scans use
-    large splits so that a 100 TB read is a few hundred thousand tasks.
-    """
-    partitions = max(8, int(largest_shuffle_bytes // target_partition_bytes) + 1)
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(int(scan_partition_bytes)),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(int(target_partition_bytes)),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-    }
-
-
-def apply_settings(spark: SparkSession, settings: dict[str, str], override: bool = False) -> None:
-    """Set runtime SQL settings on ``spark``; keep values the session already
-    has unless ``override``."""
-    for key, value in settings.items():
-        if override or spark.conf.get(key, None) in (None, ""):
-            spark.conf.set(key, value)
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this application wrote."""
+    jvm, app = spark._jvm, spark.sparkContext.applicationId
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/avionyx/{app}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

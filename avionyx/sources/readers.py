@@ -8,7 +8,7 @@ the scan (``ReadSchema``) or in the JDBC column list.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,15 +17,29 @@ from pyspark.sql import types as T
 from . import schemas
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+class MissingColumns(ValueError):
+    """A source lacks declared columns."""
+
+
+# Record ids are only compared, never calculated with: text ids stay text.
+ID_COLUMNS = ("id", "pfrid")
+
+
+def conform(df: DataFrame, schema: T.StructType, optional: Collection[str] = ()) -> DataFrame:
     """Project ``df`` onto ``schema``: declared columns in declared order and
-    types; a declared column the input lacks becomes null."""
+    types.  A declared column that the input lacks is an error, unless it is
+    ``optional`` (then it is null)."""
     present = {c.lower(): c for c in df.columns}
+    missing = [f.name for f in schema.fields if f.name.lower() not in present and f.name not in optional]
+    if missing:
+        raise MissingColumns(f"the source has no column {', '.join(missing)} (it has {', '.join(df.columns)})")
+    types = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for field in schema.fields:
         src = present.get(field.name.lower())
-        value = F.col(src) if src is not None else F.lit(None)
-        cols.append(value.cast(field.dataType).alias(field.name))
+        value = F.col(f"`{src}`") if src is not None else F.lit(None)
+        text_id = field.name in ID_COLUMNS and src is not None and isinstance(types[src], T.StringType)
+        cols.append(value.alias(field.name) if text_id else value.cast(field.dataType).alias(field.name))
     return df.select(*cols)
 
 

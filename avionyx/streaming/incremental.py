@@ -1,16 +1,17 @@
 """The logbook aggregation (A3) run incrementally with Structured Streaming.
 
 New post-flight report files are picked up as they land; each micro-batch is
-cleaned (BR3, a stream-static semi join against the aircraft lookup), joined
-to the personnel file (stream-static left join, ``NONE`` for unknown
-reporters) and folded into a stateful count per (Year, Month_Num, Airport,
-registration).  The state lives in the checkpoint under the shared folder, so
-a restarted query resumes where it stopped.  ``foreachBatch`` publishes every
-new snapshot of the counts as a parquet table, which the batch key
-resolution (``facts.logbook_fact``) turns into Logbooks rows.
+cleaned (BR3, a stream-static semi join against the aircraft lookup) and folded
+into a stateful count per (month, registration, reporter), the same
+``facts.reporter_counts`` that the batch uses.  The state lives in the
+checkpoint under the shared folder, so a restarted query resumes where it
+stopped.
 
-Once all files are processed the table equals the batch aggregation of the
-same reports.
+In update mode a micro-batch holds only the counts that changed.  Each is
+written as a folder of its own (``epoch=N``), never over an earlier one, so a
+reader always sees whole epochs; ``logbook_counts`` takes the newest count of
+every key and sums them per airport.  Once all files are processed this
+equals the batch aggregation of the same reports.
 """
 
 from __future__ import annotations
@@ -19,51 +20,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import cleaning, measures
+from ..operators import cleaning, facts
 from ..sources import schemas
 
-
-def logbook_counts(reports: DataFrame, lookup: DataFrame | None, personnel: DataFrame) -> DataFrame:
-    """Streaming (or batch) logbook counts; ``lookup=None`` skips BR3."""
-    r = cleaning.valid_reports(reports, lookup) if lookup is not None else reports
-    r = measures.report_airport(r, personnel).filter(
-        F.col("reportingdate").isNotNull() & F.col("aircraftregistration").isNotNull()
-    )
-    return r.groupBy(
-        F.year("reportingdate").alias("Year"),
-        F.month("reportingdate").alias("Month_Num"),
-        F.col("airport").alias("Airport"),
-        "aircraftregistration",
-    ).agg(F.count(F.lit(1)).cast("int").alias("Log_Count"))
+KEYS = ["Year", "Month_Num", facts.REG, "reporteurid"]
 
 
 def start_logbook_stream(
     spark: SparkSession,
     reports_dir: str,
     lookup: DataFrame | None,
-    personnel: DataFrame,
     output_dir: str,
     checkpoint_dir: str,
     files_per_batch: int = 1,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start the incremental logbook aggregation over parquet report files in
-    ``reports_dir``; every micro-batch overwrites ``output_dir`` with the
-    current counts.  ``available_now`` processes what is there and stops."""
+    """Start the incremental reporter counts over parquet report files in
+    ``reports_dir``; every micro-batch adds ``output_dir/epoch=N`` with the
+    counts it changed.  ``lookup=None`` skips BR3; ``available_now`` processes
+    what is there and stops."""
     stream = (
         spark.readStream.schema(schemas.REPORTS)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(reports_dir)
     )
-    counts = logbook_counts(stream, lookup, personnel)
+    valid = cleaning.valid_reports(stream, lookup) if lookup is not None else stream
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(output_dir)
+        # a repeated epoch (after a restart) replaces its own folder only
+        batch.write.mode("overwrite").parquet(f"{output_dir}/epoch={epoch_id}")
 
     writer = (
-        counts.writeStream.outputMode("complete")
+        facts.reporter_counts(valid)
+        .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint_dir)
         .foreachBatch(publish)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def logbook_counts(spark: SparkSession, output_dir: str, personnel: DataFrame) -> DataFrame:
+    """The logbook aggregation as of the newest published epoch."""
+    changed = spark.read.option("basePath", output_dir).parquet(f"{output_dir}/epoch=*")
+    newest = changed.groupBy(*KEYS).agg(F.max_by("n", "epoch").alias("n"))
+    return facts.logbook_of_reporters(newest, personnel)

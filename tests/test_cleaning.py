@@ -72,13 +72,25 @@ def test_br2_single_pass_is_stable(spark):
     assert cleaning.overlapping_flights(once).count() == 0
 
 
-def test_br2_bucket_choice_does_not_change_the_result(spark):
+def test_br2_bucket_count_does_not_change_the_result(spark, monkeypatch):
     f = flights_df(spark, _br2_rows())
-    by_range = sorted(r.id for r in cleaning.overlapping_flights(f).collect())
-    by_day = sorted(r.id for r in cleaning.overlapping_flights(f, "day").collect())
-    by_hour = sorted(r.id for r in cleaning.overlapping_flights(f, "hour").collect())
-    by_year = sorted(r.id for r in cleaning.overlapping_flights(f, "year").collect())
-    assert by_range == by_day == by_hour == by_year == [1, 10, 12]
+    for n in (1, 3, 20):
+        monkeypatch.setattr(cleaning, "MIN_BUCKETS", n)
+        assert sorted(r.id for r in cleaning.overlapping_flights(f).collect()) == [1, 10, 12]
+
+
+def test_br2_does_not_hang_on_exchange_reuse(spark):
+    from avionyx.sources import load_test_sources
+
+    f = cleaning.swap_inverted_times(load_test_sources(spark, "/root/testdata/sf0.01").flights)
+    got = []
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            got.append(sorted(map(tuple, cleaning.next_departure(f).collect()), key=str))
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")
+    assert got[0] == got[1]
 
 
 def test_br2_hot_aircraft_is_spread_over_buckets(spark):

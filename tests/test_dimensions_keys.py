@@ -59,3 +59,21 @@ def test_calendar_dimensions(spark):
     ).select(F.to_timestamp_ntz("s").alias("scheduleddeparture"))
     dates = dimensions.date_dimension(dimensions.date_members(f)).orderBy("Date_ID").collect()
     assert [(d.Date_ID, d.Day_Num, d.Month_Num, d.Year) for d in dates] == [(1, 29, 2, 2020), (2, 1, 1, 2021)]
+
+
+def test_key_files_follow_the_members_not_the_session(spark):
+    from avionyx.operators import keys
+
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        keyed = keys.assign_surrogate_keys(spark.range(500).selectExpr("id AS k"), ["k"], "key")
+        assert len(keyed.inputFiles()) <= 2
+        assert [r["key"] for r in keyed.orderBy("k").collect()] == list(range(1, 501))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_aircraft_members_without_lookup_lines(spark):
+    lookup = lookup_df(spark, [("A", "2", "m", "Airbus"), ("A", "1", "m", "Airbus")]).drop("lookup_line")
+    assert [r.Manufacturer_Serial_Number for r in dimensions.aircraft_members(lookup).collect()] == ["1"]
+

@@ -4,8 +4,9 @@ import pytest
 from conftest import SMOKE_DIR
 from pyspark.sql import functions as F
 
-from avionyx.plans import etl, kpis
-from avionyx.plans.warehouse import build_warehouse, read_warehouse
+from avionyx.operators import cleaning
+from avionyx.plans import etl, kpis, store
+from avionyx.plans.warehouse import build_warehouse, load_fact, read_warehouse
 from avionyx.sources import load_test_sources
 
 
@@ -16,8 +17,8 @@ def test_load_then_incremental_load_keeps_keys(spark):
     first = src._replace(flights=src.flights.filter("scheduleddeparture < timestamp_ntz'1998-01-01 00:00:00'"))
     report = etl.load_warehouse(first, path, clean=True, reset=True)
     assert report.checks.filter("violations > 0").count() == 0
-    before = {r.Aircraft_Registration_Code: r.Aircraft_ID for r in spark.read.parquet(f"{path}/Aircrafts").collect()}
-    dates_before = spark.read.parquet(f"{path}/Dates").count()
+    before = {r.Aircraft_Registration_Code: r.Aircraft_ID for r in store.read_table(spark, path, "Aircrafts").collect()}
+    dates_before = store.read_table(spark, path, "Dates").count()
 
     later = src._replace(
         flights=src.flights.filter("scheduleddeparture >= timestamp_ntz'1998-01-01 00:00:00'"),
@@ -25,17 +26,56 @@ def test_load_then_incremental_load_keeps_keys(spark):
         reports=src.reports.filter(F.lit(False)),
     )
     etl.load_warehouse(later, path, clean=True, reset=False)
-    after = {r.Aircraft_Registration_Code: r.Aircraft_ID for r in spark.read.parquet(f"{path}/Aircrafts").collect()}
+    after = {r.Aircraft_Registration_Code: r.Aircraft_ID for r in store.read_table(spark, path, "Aircrafts").collect()}
     assert all(after[k] == v for k, v in before.items())  # existing keys kept
-    assert spark.read.parquet(f"{path}/Dates").count() > dates_before  # new days appended
+    assert store.read_table(spark, path, "Dates").count() > dates_before  # new days appended
 
-    # the daily facts of the two loads equal one full load (flights split by date, BR2 per load)
-    full = build_warehouse(src)
+    # the daily facts of the two loads are those of the flights that BR2 leaves when it sees each load by itself
+    swapped = cleaning.swap_inverted_times
+    kept = [cleaning.drop_overlapping_flights(swapped(part.flights)) for part in (first, later)]
+    want = kept[0].unionByName(kept[1])
+    full = build_warehouse(src._replace(flights=want), clean=False)
+    known = full.daily_aggregates.join(
+        src.aircraft.select(F.col("aircraft_reg_code").alias("aircraftregistration")).distinct(), "aircraftregistration"
+    )
     stored = read_warehouse(spark, path)
-    got = stored.flight_daily.join(stored.dates, "Date_ID").agg(F.sum("Takeoffs")).first()[0]
-    want = full.flight_daily.agg(F.sum("Takeoffs")).first()[0]
-    # the loads can differ only where BR2 sees an overlap across the split: at most one flight per aircraft
-    assert abs(got - want) <= full.aircrafts.count()
+    got = stored.flight_daily.join(stored.dates, "Date_ID").join(stored.aircrafts, "Aircraft_ID")
+    columns = ["Full_Date", "FH", "Takeoffs", "DFC", "CFC", "TDM"]
+    assert sorted(got.select("Aircraft_Registration_Code", *columns).collect()) == sorted(
+        known.select("aircraftregistration", *columns).collect()
+    )
+
+
+def _counts(spark, path):
+    return {r.table_name: r.rows for r in etl.stored_row_counts(spark, path).collect()}
+
+
+def test_a_repeated_append_is_refused_and_changes_nothing(spark):
+    src = load_test_sources(spark, SMOKE_DIR)
+    path = tempfile.mkdtemp(prefix="avionyx-etl-") + "/dw"
+    etl.load_warehouse(src, path)
+    before, version = _counts(spark, path), store.published(spark, path).version
+    with pytest.raises(etl.ConstraintViolation, match="already stored"):
+        etl.load_warehouse(src, path, reset=False)
+    assert _counts(spark, path) == before and store.published(spark, path).version == version
+    wh = read_warehouse(spark, path)
+    with pytest.raises(etl.ConstraintViolation, match="already stored"):
+        load_fact(wh.flight_daily, "Flight_Operations_Daily", path)
+    # a load that can't be published leaves the stored one as it is
+    stale = store.Published(path, version - 1, {})
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        store.publish(spark, path, stale, {"Dates": []})
+    assert _counts(spark, path) == before
+
+
+def test_facts_are_not_appended_to_a_partial_warehouse(spark):
+    src = load_test_sources(spark, SMOKE_DIR)
+    path = tempfile.mkdtemp(prefix="avionyx-etl-") + "/dw"
+    etl.load_warehouse(src, path)
+    now = store.published(spark, path)
+    store.publish(spark, path, now, {t: f for t, f in now.folders.items() if t != "Dates"})
+    with pytest.raises(ValueError, match="lacks Dates"):
+        etl.load_warehouse(src, path, reset=False)
 
 
 def test_load_is_gated_on_constraints(spark, monkeypatch):

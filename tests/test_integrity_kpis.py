@@ -110,3 +110,25 @@ def test_check_tables_lists_every_constraint(spark):
     assert out[("Flight_Operations_Daily", "unique", "Date_ID+Aircraft_ID")] == 0
     assert out[("Flight_Operations_Daily", "foreign_key", "Aircraft_ID->Aircrafts")] == 0
     assert len(out) == 56
+
+
+def test_reports_are_ordered(spark):
+    """O1: manufacturer, then year, then role."""
+    from conftest import SMOKE_DIR
+
+    from avionyx.plans import baseline
+    from avionyx.plans.warehouse import build_warehouse
+    from avionyx.sources import load_test_sources
+
+    src = load_test_sources(spark, SMOKE_DIR)
+    wh = build_warehouse(src)
+    for df, keys in (
+        (kpis.utilization(wh), 2),
+        (kpis.reporting(wh), 2),
+        (kpis.reporting_per_role(wh), 3),
+        (baseline.utilization_baseline(src), 2),
+        (baseline.reporting_per_role_baseline(src), 3),
+    ):
+        got = [tuple("" if v is None else str(v) for v in r[:keys]) for r in df.collect()]
+        assert got == sorted(got) and len(set(got)) == len(got)
+

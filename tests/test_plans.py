@@ -36,16 +36,35 @@ def test_star_joins_broadcast_the_dimensions(spark):
     assert "SortMergeJoin" not in p
 
 
-def test_overlap_window_is_bucketed_and_reads_flights_once(spark):
+def test_overlap_window_is_bucketed_and_reads_stored_buckets(spark):
     flights = cleaning.swap_inverted_times(load_test_sources(spark, SMOKE_DIR).flights)
-    df = cleaning.overlapping_flights(flights)
-    p = _final_plan(df)
-    # the window over flights is partitioned by (bucket, registration), never by registration alone,
-    # and the buckets come from a range partitioning of the flights
+    p = _final_plan(cleaning.overlapping_flights(flights))
+    # the window over flights is partitioned by (bucket, registration), never by registration alone
     parts = re.findall(r"windowspecdefinition\(([^,]+), ([^,]+), actualdeparture", p)
     assert parts and all("_bucket" in a + b for a, b in parts)
-    assert "rangepartitioning(aircraftregistration" in p
-    assert "ReusedExchange" in p
+    # the buckets are a stored column: no range partitioning is left to run twice
+    assert "rangepartitioning" not in p and "_bucket" in p
+
+
+def test_classes_are_joined_to_sums_not_to_raw_rows(spark):
+    src = load_test_sources(spark, SMOKE_DIR)
+    for df in (baseline.utilization_baseline(src), baseline.reporting_per_role_baseline(src)):
+        p = _plan(df)
+        joins = [len(x) - len(x.lstrip(" :+-")) for x in p.splitlines() if "Join" in x and "LeftOuter" in x]
+        sums = [len(x) - len(x.lstrip(" :+-")) for x in p.splitlines() if "HashAggregate" in x]
+        # an aggregation lies below every class join
+        assert joins and all(any(s > j for s in sums) for j in joins)
+
+
+def test_broadcast_check_moves_sums_only(spark):
+    from avionyx.operators import joins
+
+    df = load_test_sources(spark, SMOKE_DIR).aircraft
+    n, size = joins.measured_size(df)
+    assert n == df.count() and size > 16 * n
+    assert joins.bounded_broadcast(df, max_bytes=size - 1) is df
+    assert joins.bounded_broadcast(df, max_rows=n - 1) is df
+    assert joins.bounded_broadcast(df, max_rows=n, max_bytes=size) is not df
 
 
 def test_scans_are_pruned(spark):

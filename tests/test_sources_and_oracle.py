@@ -100,11 +100,19 @@ def test_matches_duckdb_oracle(spark, duck, name):
     assert digest(df.columns, rows) == digest(ocols, orows)
 
 
-def test_scale_settings_for_100_tb():
-    from avionyx.session import scale_settings
-
-    flights = 100 * 1024**4 / 100  # 100 TB of flights at about 100 bytes per row
-    s = scale_settings(flights * 40)
-    parts = int(s["spark.sql.shuffle.partitions"])
-    assert 100_000 < parts < 300_000  # about 256 MB of the BR2 exchange per partition
-    assert scale_settings(1)["spark.sql.shuffle.partitions"] == "8"
+def test_a_missing_column_is_an_error_and_text_ids_stay(spark):
+    import pytest
+
+    from avionyx.sources import readers
+    from avionyx.session import scratch_path
+
+    src = load_test_sources(spark, SMOKE_DIR)
+    path = scratch_path(spark, "flights-without")
+    src.flights.drop("actualdeparture").limit(5).write.parquet(path)
+    with pytest.raises(readers.MissingColumns, match="actualdeparture"):
+        readers.read_flights(spark, path)
+    path = scratch_path(spark, "flights-text-id")
+    src.flights.limit(5).selectExpr("concat('F-', id) AS id", "* EXCEPT (id)").write.parquet(path)
+    got = readers.read_flights(spark, path)
+    assert dict(got.dtypes)["id"] == "string"
+    assert all(r.id.startswith("F-") for r in got.collect())
