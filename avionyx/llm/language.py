@@ -32,7 +32,7 @@ SAMPLE_ROWS = 8000
 LONGEST = 5
 LEAST = 3
 LEAST_GRAM = 5
-CACHE = 200_000
+CACHE = 150_000
 UND = "und"
 
 TOKEN = re.compile(r"[^\W\d_]+")
@@ -79,39 +79,62 @@ def token_counts(rows: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Per-language log frequencies of words and n-grams."""
+    """Per-language log frequencies of words and n-grams.
+
+    ``tables`` maps each size to ``{token: row}``; rows of words come first in
+    ``known``, those of unseen words are kept in a cache of bounded size.
+    """
 
     def __init__(self, langs: list[str], tables: dict[int, dict[str, np.ndarray]]):
         self.langs, self.tables = langs, tables
-        self.cache: dict[str, np.ndarray] = {}
+        words = tables.get(0, {})
+        self.at = {w: i for i, w in enumerate(words)}
+        self.n_words = len(self.at)
+        self.rows = np.zeros((self.n_words + CACHE, len(langs)))
+        if words:
+            self.rows[: self.n_words] = np.array(list(words.values()))
+        self.unseen: dict[str, int] = {}
+
+    def backoff(self, w: str) -> np.ndarray:
+        """Mean of the known n-grams of the longest length that has any."""
+        padded = f"^{w}$"
+        for size in range(LONGEST, 0, -1):
+            get = self.tables[size].get
+            hit = [v for v in [get(padded[i : i + size]) for i in range(len(padded) - size + 1)] if v is not None]
+            if hit:
+                return np.add.reduce(hit) / len(hit)
+        return np.zeros(len(self.langs))
 
     def word(self, w: str) -> np.ndarray:
-        known = self.tables[0].get(w)
-        if known is not None:
-            return known
-        found = self.cache.get(w)
+        return self.rows[self._row(w)]
+
+    def _row(self, w: str) -> int:
+        found = self.at.get(w)
         if found is None:
-            found = np.zeros(len(self.langs), np.float32)
-            for size in range(LONGEST, 0, -1):
-                table = self.tables[size]
-                hit = [table[g] for g in grams(w, size) if g in table]
-                if hit:
-                    found = np.sum(hit, axis=0) / len(hit)
-                    break
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[w] = found
+            found = self.unseen.get(w)
+            if found is None:
+                found = self.n_words + len(self.unseen)
+                self.rows[found] = self.backoff(w)
+                self.unseen[w] = found
         return found
 
     def predict(self, text: str | None) -> tuple[str, float]:
         counts = Counter(words_of(text))
         if not self.langs or not has_letter(counts):
             return UND, 0.0
-        # each word's value is looked up by itself, so the sum can't depend on the rows seen before
-        total = np.array(list(counts.values()), np.float64) @ np.array([self.word(w) for w in counts], np.float64)
+        total = np.zeros(len(self.langs))
+        words, times = list(counts), list(counts.values())
+        for lo in range(0, len(words), CACHE):
+            part = words[lo : lo + CACHE]
+            if len(self.unseen) + len(part) > CACHE:
+                self.unseen.clear()
+            rows = list(map(self.at.get, part))
+            if None in rows:
+                rows = [self._row(w) if r is None else r for w, r in zip(part, rows, strict=True)]
+            total += np.array(times[lo : lo + CACHE], float) @ self.rows[rows]
         best = int(np.argmax(np.round(total, 6)))
         # the posterior of a text of at most 20 words: long texts would always give 1
-        tempered = (total - total[best]) * min(1.0, 20 / sum(counts.values()))
+        tempered = (total - total[best]) * min(1.0, 20 / sum(times))
         return self.langs[best], float(1 / np.exp(np.minimum(tempered, 0)).sum())
 
 
