@@ -38,12 +38,12 @@ def yearly_flight_totals(wh) -> DataFrame:
         _by_year(wh.flight_daily, wh.aircrafts, wh.dates, "Date_ID")
         .groupBy(F.col("Aircraft_Manufacturer_Class").alias("manufacturer"), F.col("Year").alias("year"))
         .agg(
-            F.sum("FH").alias("total_FH"),
-            F.sum("Takeoffs").alias("total_Takeoffs"),
-            F.sum("TDM").alias("total_TDM"),
-            F.sum("CFC").alias("total_CFC"),
-            F.sum("DFC").alias("total_DFC"),
-            F.countDistinct("Aircraft_ID").alias("num_aircrafts"),
+            F.sum("FH").alias("flight_hours"),
+            F.sum("Takeoffs").alias("departures"),
+            F.sum("TDM").alias("delay_minutes"),
+            F.sum("CFC").alias("cancellations"),
+            F.sum("DFC").alias("delays"),
+            F.countDistinct("Aircraft_ID").alias("fleet"),
         )
     )
 
@@ -55,10 +55,10 @@ def yearly_maintenance_totals(wh) -> DataFrame:
         _by_year(wh.monthly, wh.aircrafts, wh.months, "Month_ID")
         .groupBy(F.col("Aircraft_Manufacturer_Class").alias("manufacturer"), F.col("Year").alias("year"))
         .agg(
-            F.sum("ADOSS").alias("total_ADOSS"),
-            F.sum("ADOSU").alias("total_ADOSU"),
-            F.sum("ADIS").alias("total_ADIS"),
-            F.countDistinct("Aircraft_ID").alias("num_aircrafts"),
+            F.sum("ADOSS").alias("scheduled_days"),
+            F.sum("ADOSU").alias("unscheduled_days"),
+            F.sum("ADIS").alias("service_days"),
+            F.countDistinct("Aircraft_ID").alias("fleet"),
         )
     )
 
@@ -68,7 +68,7 @@ def yearly_utilization(wh) -> DataFrame:
     return (
         _by_year(wh.flight_daily, wh.aircrafts, wh.dates, "Date_ID")
         .groupBy(F.col("Aircraft_Manufacturer_Class").alias("manufacturer"), F.col("Year").alias("year"))
-        .agg(F.sum("FH").alias("total_FH"), F.sum("Takeoffs").alias("total_Takeoffs"))
+        .agg(F.sum("FH").alias("flight_hours"), F.sum("Takeoffs").alias("departures"))
     )
 
 
@@ -77,7 +77,7 @@ def yearly_report_totals(wh) -> DataFrame:
     return (
         _by_year(wh.logbooks, wh.aircrafts, wh.months, "Month_ID")
         .groupBy(F.col("Aircraft_Manufacturer_Class").alias("manufacturer"), F.col("Year").alias("year"))
-        .agg(F.sum("Log_Count").alias("total_reports"))
+        .agg(F.sum("Log_Count").alias("reports"))
     )
 
 
@@ -90,38 +90,38 @@ def yearly_role_totals(wh) -> DataFrame:
             F.col("Year").alias("year"),
             role_of_airport("Airport").alias("role"),
         )
-        .agg(F.sum("Log_Count").alias("total_reports"))
+        .agg(F.sum("Log_Count").alias("reports"))
     )
 
 
 def utilization(wh) -> DataFrame:
     """K1: utilization, maintenance and punctuality KPIs per manufacturer and year."""
-    y = yearly_flight_totals(wh).withColumnRenamed("num_aircrafts", "n_f")
-    m = yearly_maintenance_totals(wh).withColumnRenamed("num_aircrafts", "n_m")
+    y = yearly_flight_totals(wh).withColumnRenamed("fleet", "n_f")
+    m = yearly_maintenance_totals(wh).withColumnRenamed("fleet", "n_m")
     j = y.join(m, KEYS)
-    fh = R(safe_div("total_FH", "n_f"), 2)
-    takeoff = R(safe_div("total_Takeoffs", "n_f"), 2)
-    ados = R(safe_div(F.col("total_ADOSS") + F.col("total_ADOSU"), "n_m"), 2)
+    fh = R(safe_div("flight_hours", "n_f"), 2)
+    takeoff = R(safe_div("departures", "n_f"), 2)
+    ados = R(safe_div(F.col("scheduled_days") + F.col("unscheduled_days"), "n_m"), 2)
     in_service = F.lit(DAYS_PER_YEAR) - ados
     return j.select(
         "manufacturer",
         "year",
         fh.alias("FH"),
         takeoff.alias("TakeOff"),
-        R(safe_div("total_ADOSS", "n_m"), 2).alias("ADOSS"),
-        R(safe_div("total_ADOSU", "n_m"), 2).alias("ADOSU"),
+        R(safe_div("scheduled_days", "n_m"), 2).alias("ADOSS"),
+        R(safe_div("unscheduled_days", "n_m"), 2).alias("ADOSU"),
         ados.alias("ADOS"),
-        R(safe_div("total_ADIS", "n_m"), 2).alias("ADIS"),
+        R(safe_div("service_days", "n_m"), 2).alias("ADIS"),
         R(safe_div(fh, in_service * 24), 2).alias("DU"),
         R(safe_div(takeoff, in_service), 2).alias("DC"),
-        (100 * R(safe_div("total_DFC", "total_Takeoffs"), 4)).alias("DYR"),
-        (100 * R(safe_div("total_CFC", "total_Takeoffs"), 4)).alias("CNR"),
+        (100 * R(safe_div("delays", "departures"), 4)).alias("DYR"),
+        (100 * R(safe_div("cancellations", "departures"), 4)).alias("CNR"),
         F.ceil(
-            F.lit(100.0) - R(safe_div(100 * (F.col("total_DFC") + F.col("total_CFC")), "total_Takeoffs"), 2)
+            F.lit(100.0) - R(safe_div(100 * (F.col("delays") + F.col("cancellations")), "departures"), 2)
         )
         .cast("double")
         .alias("TDR"),
-        (100 * R(safe_div("total_TDM", "total_DFC"), 2)).alias("ADD"),
+        (100 * R(safe_div("delay_minutes", "delays"), 2)).alias("ADD"),
     ).orderBy(*KEYS)
 
 
@@ -129,8 +129,8 @@ def _rates(reports: DataFrame, util: DataFrame, keys: list[str], join_keys: list
     j = reports.join(util, join_keys)
     return j.select(
         *keys,
-        (1000 * R(safe_div("total_reports", "total_FH"), 3)).alias("RRh"),
-        (100 * R(safe_div("total_reports", "total_Takeoffs"), 2)).alias("RRc"),
+        (1000 * R(safe_div("reports", "flight_hours"), 3)).alias("RRh"),
+        (100 * R(safe_div("reports", "departures"), 2)).alias("RRc"),
     )
 
 
