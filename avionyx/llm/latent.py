@@ -25,10 +25,10 @@ for; repeated items and rows give repeated results only per distinct
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,24 +38,46 @@ from avionyx.llm.text import free_name, slices
 from avionyx.session import materialize
 
 FEATURES = 1 << 13
-RANK, OVERSAMPLE = 96, 16
+RANK, OVERSAMPLE = 64, 8
 PASSAGE = 48
-SCALES = (8, 11, 16, 23, 32, 45, 64)
+# Window lengths in words, and how far apart their windows start.
+STEPS = {8: 4, 11: 4, 16: 4, 23: 8, 32: 8, 45: 16, 64: 16}
+SCALES = tuple(STEPS)
+GRID, PAD = 16, 64
+REPEAT_REACH, REPEAT_WEIGHT = 32, 0.3
 LEAST_WORDS = 8
-COSINE, VERBATIM, PARAPHRASE, ANSWER = 0.45, 0.75, 0.6, 0.8
+COSINE, VERBATIM, PARAPHRASE, ANSWER = 0.5, 0.75, 0.6, 0.8
+CACHE_WORDS = 400_000
 BLOCK_ITEMS, BLOCK_CHARS = 2048, 4_000_000
-SLICE_WORDS = 1 << 16
+RUN_WORDS = 1 << 14
+SVD_WORDS = 1 << 11
+PIECE_WORDS = 40 * PASSAGE  # a long document is taken in pieces of whole passages
 SEED = 7
 
 TOKEN = re.compile(r"\w+")
 
 
+class _Codes(dict):
+    """16-bit codes of words, kept for the words seen so far."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        code = self[word] = zlib.crc32(word.encode()) >> 16
+        return code
+
+
+_CODES = _Codes()
+
+
 def word_codes(texts: list[str | None]) -> list[np.ndarray]:
     """16-bit codes of the lower-cased words of each text."""
-    found = [TOKEN.findall(t.lower()) if t else [] for t in texts]
-    flat = [w for ws in found for w in ws]
-    h = (pd.util.hash_array(np.array(flat, dtype=object)) >> np.uint64(48)).astype("<u2") if flat else np.zeros(0, "<u2")
-    return np.split(h, np.cumsum([len(ws) for ws in found])[:-1]) if found else []
+    code = _CODES.__getitem__
+    out = []
+    for text in texts:
+        words = TOKEN.findall(text.lower()) if text else []
+        out.append(np.fromiter(map(code, words), "<u2", len(words)))
+    return out
 
 
 def _coded(docs: DataFrame, id_type: str) -> DataFrame:
@@ -72,34 +94,48 @@ def _coded(docs: DataFrame, id_type: str) -> DataFrame:
 
 
 def _runs(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Codes and passage numbers of bounded runs of documents."""
+    """Features and passage numbers of bounded runs of passages.
+
+    A run is small enough for its working arrays to stay in the processor's
+    cache; a long document makes several.
+    """
     codes: list[np.ndarray] = []
     passages: list[np.ndarray] = []
     held, at = 0, 0
     for batch in batches:
         for value in batch.column(column):
-            c = np.frombuffer(value.as_buffer(), "<u2")
-            if not len(c):
-                continue
-            part = np.arange(len(c)) // PASSAGE
-            codes.append(c & (FEATURES - 1))
-            passages.append(part + at)
-            at += int(part[-1]) + 1
-            held += len(c)
-            if held >= 4 * SLICE_WORDS:
-                yield np.concatenate(codes), np.concatenate(passages)
-                codes, passages, held, at = [], [], 0, 0
+            whole = np.frombuffer(value.as_buffer(), "<u2")
+            for lo in range(0, len(whole), PIECE_WORDS):
+                c = whole[lo : lo + PIECE_WORDS]
+                part = np.arange(len(c)) // PASSAGE
+                codes.append(c & (FEATURES - 1))
+                passages.append(part + at)
+                at += int(part[-1]) + 1
+                held += len(c)
+                if held >= SVD_WORDS:
+                    yield np.concatenate(codes), np.concatenate(passages)
+                    codes, passages, held, at = [], [], 0, 0
     if held:
         yield np.concatenate(codes), np.concatenate(passages)
 
 
+def _entries(f: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Passage, feature and count of the entries of the term matrix, by passage, then feature."""
+    key = np.sort(p.astype(np.uint64 if int(p[-1]) >= 2**32 // FEATURES else np.uint32) * FEATURES + f)
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    times = np.diff(np.append(first, len(key)))
+    key = key[first]
+    return (key // FEATURES).astype(np.int64), (key % FEATURES).astype(np.uint16), times
+
+
 def passage_frequencies(coded: DataFrame) -> tuple[np.ndarray, int]:
     """In how many passages each feature occurs, and the number of passages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(FEATURES + 1, np.int64)
         for f, p in _runs(batches):
-            total[:-1] += np.bincount(np.unique(p.astype(np.int64) * FEATURES + f) % FEATURES, minlength=FEATURES)
+            _, features, _ = _entries(f, p)
+            total[:-1] += np.bincount(features, minlength=FEATURES)
             total[-1] += int(p[-1]) + 1
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["feature", "n"])
@@ -111,17 +147,10 @@ def passage_frequencies(coded: DataFrame) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
-def _weights(f: np.ndarray, p: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """TF-IDF weight of each word occurrence, rows (passages) of length one.
-
-    Occurrences of one feature in a passage add up to its TF-IDF entry; the
-    length is taken over those sums.
-    """
-    w = idf[f]
-    key = p.astype(np.int64) * FEATURES + f
-    distinct, where = np.unique(key, return_inverse=True)
-    entry = np.bincount(where, weights=w, minlength=len(distinct))
-    length = np.sqrt(np.bincount(distinct // FEATURES, weights=entry**2, minlength=int(p[-1]) + 1))
+def _weights(p: np.ndarray, f: np.ndarray, times: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """TF-IDF values of the entries; the row of a passage has length one."""
+    w = times * idf[f]
+    length = np.sqrt(np.bincount(p, weights=w * w))
     return (w / np.maximum(length, 1e-12)[p]).astype(np.float32)
 
 
@@ -136,15 +165,14 @@ def leading_vectors(coded: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, np.n
         x, idf = sent.value
         total = np.zeros((FEATURES, width), np.float32)
         seen = False
-        for f, p in _runs(batches):
+        for words, passages in _runs(batches):
             seen = True
-            w = _weights(f, p, idf)
-            starts = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
-            y = np.add.reduceat(x[f] * w[:, None], starts, axis=0)
-            order = np.argsort(f, kind="stable")
-            fs = f[order]
-            cuts = np.flatnonzero(np.concatenate([[True], fs[1:] != fs[:-1]]))
-            total[fs[cuts]] += np.add.reduceat(y[p[order]] * w[order][:, None], cuts, axis=0)
+            p, f, times = _entries(words, passages)
+            here, column = np.unique(f, return_inverse=True)
+            # the few passages of a run over the features they hold: small and dense
+            a = np.zeros((int(p[-1]) + 1, len(here)), np.float32)
+            a[p, column] = _weights(p, f, times, idf)
+            total[here] += a.T @ (a @ x[here])
         if seen:
             step = 256
             parts = [(b, total[b : b + step].tobytes()) for b in range(0, FEATURES, step)]
@@ -197,24 +225,52 @@ def item_queries(items: list[tuple[int, str]]) -> list[tuple[int, int, np.ndarra
     return out
 
 
+def _damped(codes: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Weight of each word: less where the same word came shortly before."""
+    order = np.argsort(codes, kind="stable")
+    again = (codes[order][1:] == codes[order][:-1]) & (np.diff(place[order]) <= REPEAT_REACH)
+    weight = np.ones(len(codes), np.float32)
+    weight[order[1:][again]] = REPEAT_WEIGHT
+    return weight
+
+
 def _project(codes: list[np.ndarray], table: np.ndarray) -> np.ndarray:
-    v = np.array([table[c & (FEATURES - 1)].sum(axis=0) for c in codes], np.float32).reshape(len(codes), table.shape[1])
+    """Latent vectors of length one."""
+    rows = [(table[c & (FEATURES - 1)] * _damped(c, np.arange(len(c)))[:, None]).sum(axis=0) for c in codes]
+    v = np.array(rows, np.float32).reshape(len(codes), table.shape[1])
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
 
-def _candidates(f: np.ndarray, table: np.ndarray, groups: dict, cosine: float) -> Iterator[tuple[int, int, int]]:
-    """``(start, scale, query)`` of the windows of one run of words that are near a query."""
-    sums = np.zeros((len(f) + 1, table.shape[1]), np.float32)
-    np.cumsum(table[f], axis=0, out=sums[1:])
+def _padded(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, places of the words, and starts of the documents in one padded run.
+
+    Every document starts on the grid of all window steps, with ``PAD`` or more
+    free places behind it, so its windows don't depend on its neighbours.
+    """
+    sizes = np.array([len(c) for c in docs])
+    room = -(-(sizes + PAD) // GRID) * GRID
+    starts = np.concatenate([[0], np.cumsum(room)])
+    place = np.concatenate([np.arange(n) + at for n, at in zip(sizes, starts, strict=False)])
+    return np.concatenate(docs), place, starts
+
+
+def _candidates(docs: list[np.ndarray], table: np.ndarray, groups: dict, cosine: float) -> Iterator[tuple[int, int, int, int]]:
+    """``(document, start, scale, query)`` of the windows that are near a query."""
+    codes, place, starts = _padded(docs)
+    sums = np.zeros((int(starts[-1]) + 1, table.shape[1]), np.float32)
+    sums[place + 1] = table[codes & (FEATURES - 1)] * _damped(codes, place)[:, None]
+    np.cumsum(sums, axis=0, out=sums)
     for scale, (queries, vectors) in groups.items():
-        step = max(1, scale // 4)
-        starts = np.arange(0, max(len(f) - scale, 0) + 1, step)
-        if len(f) > scale and starts[-1] != len(f) - scale:
-            starts = np.append(starts, len(f) - scale)
-        v = sums[np.minimum(starts + scale, len(f))] - sums[starts]
-        near = v @ vectors.T >= (cosine * np.linalg.norm(v, axis=1))[:, None]
+        step = STEPS[scale]
+        n = max(int(starts[-1]) - scale, 0) // step + 1
+        width = min(scale, int(starts[-1]))
+        v = sums[width : width + (n - 1) * step + 1 : step] - sums[: (n - 1) * step + 1 : step]
+        size = np.sqrt(np.einsum("ij,ij->i", v, v))
+        near = v @ vectors.T >= (cosine * np.where(size > 1e-3, size, np.inf))[:, None]
         for w, q in zip(*np.nonzero(near), strict=True):
-            yield int(starts[w]), scale, queries[q]
+            at = int(w) * step
+            d = int(np.searchsorted(starts, at, side="right")) - 1
+            yield d, at - int(starts[d]), scale, queries[q]
 
 
 def verdict(words: np.ndarray, asked: np.ndarray, answer: np.ndarray) -> tuple[float, float]:
@@ -243,28 +299,28 @@ def search(coded: DataFrame, items: DataFrame, idf: np.ndarray, vectors: np.ndar
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             table, queries, groups = sent.value
+            sought = [q[2].tolist() for q in queries]
             reach = 2 * SCALES[-1]
 
             def look(docs: list[tuple[object, np.ndarray]]) -> list[tuple]:
-                words = np.concatenate([c for _, c in docs])
-                ends = np.cumsum([len(c) for _, c in docs])
                 best: dict[tuple[int, int], tuple] = {}
                 tried = set()
-                for start, scale, q in _candidates(words & (FEATURES - 1), table, groups, cosine):
-                    d = int(np.searchsorted(ends, start + scale // 2, side="right"))
-                    if d == len(docs):
-                        d -= 1
-                    first = int(ends[d]) - len(docs[d][1])
+                for d, start, scale, q in _candidates([c for _, c in docs], table, groups, cosine):
+                    words = docs[d][1]
                     item, _, codes, answer = queries[q]
-                    lo, hi = max(first, start - len(codes) // 2), min(int(ends[d]), start + scale + len(codes) // 2)
-                    if hi - lo < LEAST_WORDS // 2 or (q, lo, hi) in tried:
+                    lo, hi = max(0, start - len(codes) // 2), min(len(words), start + scale + len(codes) // 2)
+                    if hi - lo < LEAST_WORDS // 2 or (d, q, lo, hi) in tried:
+                        continue
+                    tried.add((d, q, lo, hi))
+                    # words in common bound the common subsequence
+                    held = set(words[lo:hi].tolist())
+                    if sum([c in held for c in sought[q]]) < paraphrase * len(codes):
                         continue
-                    tried.add((q, lo, hi))
                     share, told = verdict(words[lo:hi], codes, answer)
                     if share >= verbatim or (share >= paraphrase and told >= ANSWER):
                         key = (d, item)
                         if key not in best or share > best[key][3]:
-                            best[key] = (docs[d][0], item, start - first if start > first else 0, share, told)
+                            best[key] = (docs[d][0], item, start, share, told)
                 return list(best.values())
 
             out: list[tuple] = []
@@ -274,10 +330,10 @@ def search(coded: DataFrame, items: DataFrame, idf: np.ndarray, vectors: np.ndar
                 for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     words = np.frombuffer(value.as_buffer(), "<u2")
                     # a long document is seen in overlapping runs
-                    for at in range(0, max(len(words) - reach, 1), SLICE_WORDS - reach):
-                        docs.append((doc_id, words[at : at + SLICE_WORDS]))
+                    for at in range(0, max(len(words) - reach, 1), RUN_WORDS - reach):
+                        docs.append((doc_id, words[at : at + RUN_WORDS]))
                         held += len(docs[-1][1])
-                        if held >= SLICE_WORDS:
+                        if held >= RUN_WORDS:
                             out += look(docs)
                             docs, held = [], 0
             if held:

@@ -54,9 +54,9 @@ def test_long_document_and_verdict(spark):
     rng = random.Random(9)
     words = [f"w{rng.randrange(5000)}" for _ in range(200_000)]
     item = [f"q{i}" for i in range(30)]
-    for at in (latent.SLICE_WORDS - 10, 150_000):
+    for at in (latent.RUN_WORDS - 10, 150_000):
         words[at:at] = item
-    d = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[1000:50_000]))], "doc_id long, text string")
+    d = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[20_000:140_000]))], "doc_id long, text string")
     b = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
     assert [(r["doc_id"], r["item_id"], r["lcs_share"]) for r in latent.contaminated(d, b).collect()] == [(1, 7, 1.0)]
     w, q = np.array([1, 2, 3, 4], "<u2"), np.array([1, 9, 3], "<u2")
