@@ -139,9 +139,11 @@ class Model:
 
 
 def fit(rows: DataFrame, sample_rows: int = SAMPLE_ROWS, least: int = LEAST) -> Model:
-    """Fit on at most ``sample_rows`` of the rows ``doc_id, text, lang`` (lang not null)."""
-    sample = rows.where("lang is not null").orderBy(F.xxhash64("doc_id", "lang"), "doc_id").limit(sample_rows)
-    counts = token_counts(sample)
+    """Fit on the rows ``doc_id, text, lang`` (none null but the text) of at most ``sample_rows`` ids."""
+    named = rows.where("lang is not null and doc_id is not null")
+    # ids first: only narrow rows are sorted, and at most sample_rows of them are sent out
+    chosen = named.select("doc_id", F.xxhash64("doc_id").alias("h")).distinct().orderBy("h", "doc_id").limit(sample_rows)
+    counts = token_counts(named.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi"))
     often = counts.where((F.col("n") >= F.when(F.col("size") == 0, least).otherwise(LEAST_GRAM)) | (F.col("size") == 1))
     got = [(r["size"], r["token"], r["lang"], r["n"]) for r in often.toLocalIterator()]
     langs = sorted({r[2] for r in got})

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from avionyx.llm.text import slices
+from avionyx.session import materialize
 
 SAMPLE_ROWS = 12_000
 CACHE = 300_000
@@ -237,7 +238,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         .limit(sample_rows)
     )
     # the sample holds at most sample_rows narrow rows
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).select("toxic", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    rows = materialize(rows.select("toxic", "text"), "toxic-sample")
     size = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = size.get(1, 0), size.get(0, 0)
     if not n_toxic or not n_clean:
