@@ -18,8 +18,9 @@ With 50 bands of 6 minima a pair at similarity 0.8 shares no bucket with
 probability 2.5e-7; the signature cut (125 of 600 two-bit minima may differ) is
 four standard deviations below 0.8.  In a group of thousands of half-similar
 texts the signatures alone leave many pairs across components; an exact prefix
-test on the rarest shingles (two sets that reach the similarity share one of
-them) drops more before the full sets are fetched.
+test on the rarest shingles (two sets that reach the similarity share some of
+them) drops more before the full sets are fetched, and a pair that shares several
+buckets is proposed in one of them only.
 
 Defined results: a null or empty text, or one without words, has the empty set,
 is linked with nothing and is its own component.  A text with fewer words than
@@ -47,6 +48,7 @@ BANDED = BANDS * ROWS
 HASHES = 600
 SIG_LONGS = (2 * HASHES + 63) // 64
 MAX_DIFFERENT = 125
+RARE = 3
 SEED = 20240229
 
 _SIG = [f"s{i}" for i in range(SIG_LONGS)]
@@ -202,12 +204,7 @@ def _close(a: str, b: str) -> Column:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """``node, n, probe, index``: the rarest shingles of each set, in one common order.
-
-    If two sets reach the similarity, the ``probe`` shingles of the larger
-    and the ``index`` shingles of the smaller overlap (the prefix filter of
-    set-similarity joins).
-    """
+    """``node, n, probe``: the rarest shingles of each set, in one common order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,8 +226,23 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     return ordered.select(
         "node",
         "n",
-        F.expr(f"slice(x, 1, n - cast(ceil({p} * n / 100) as int) + 1)").alias("probe"),
-        F.expr(f"slice(x, 1, n - cast(ceil({2 * p} * n / {100 + p}) as int) + 1)").alias("index"),
+        F.expr(f"slice(x, 1, n - cast(ceil({p} * n / 100) as int) + {RARE})").alias("probe"),
+    )
+
+
+def _may_reach(percent: int) -> Column:
+    """False only for pairs that can't reach the similarity (the prefix filter of set-similarity joins).
+
+    Two sets of ``n`` and ``m`` shingles that reach it share at least
+    ``need`` = percent * (n + m) / (100 + percent) of them; then their
+    ``n - need + RARE`` and ``m - need + RARE`` rarest have ``RARE`` in common
+    (or all of ``need``, if that is less).
+    """
+    need = f"cast(ceil({percent} * (a.n + b.n) / {100 + percent}) as int)"
+    first = lambda t: f"slice({t}.probe, 1, greatest(0, {t}.n - {need} + {RARE}))"
+    return F.expr(
+        f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)"
+        f" and size(array_intersect({first('a')}, {first('b')})) >= least({RARE}, {need})"
     )
 
 
@@ -284,20 +296,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     )
     split = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     rows_open = materialize(placed.join(split.select("bucket"), "bucket", "left_semi"), "open")
-    rows_open = rows_open.join(_prefixes(sets.join(rows_open.select("node").distinct(), "node", "left_semi"), percent), "node")
+    nodes_open = rows_open.select("node").distinct()
+    bands = filled.select("node", "bands").join(nodes_open, "node", "left_semi").dropDuplicates(["node"])
+    prefixes = materialize(_prefixes(sets.join(nodes_open, "node", "left_semi"), percent).join(bands, "node"), "prefixes")
+    rows_open = rows_open.join(prefixes, "node")
     a, b = rows_open.alias("a"), rows_open.alias("b")
-    longer = F.col("a.n") >= F.col("b.n")
-    meet = F.arrays_overlap(
-        F.when(longer, F.col("a.probe")).otherwise(F.col("a.index")),
-        F.when(longer, F.col("b.index")).otherwise(F.col("b.probe")),
-    )
+    # a pair is proposed once, in the smallest of the buckets that it shares
+    once = F.array_min(F.array_intersect("a.bands", "b.bands")) == F.col("a.bucket")
     across = (
         a.join(
             b,
             (F.col("a.bucket") == F.col("b.bucket"))
             & (F.col("a.component") < F.col("b.component"))
             & _close("a", "b")
-            & meet,
+            & _may_reach(percent)
+            & once,
         )
         .select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v"))
         .distinct()
