@@ -164,11 +164,14 @@ def fit(rows: DataFrame, sample_rows: int = SAMPLE_ROWS, least: int = LEAST) ->
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score`` of every whole text."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.langs, model.tables))
+    # tokens and one matrix per size: small to send, whatever the number of tokens
+    packed = {n: (list(t), np.array(list(t.values()), np.float32)) for n, t in model.tables.items()}
+    sent = docs.sparkSession.sparkContext.broadcast((model.langs, packed))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(*sent.value)
+        langs, packed = sent.value
+        m = Model(langs, {n: dict(zip(tokens, rows, strict=True)) for n, (tokens, rows) in packed.items()})
         for batch in batches:
             texts = batch.column(1).to_pylist()
             made = [m.predict(t) for t in texts]
