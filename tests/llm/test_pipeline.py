@@ -45,14 +45,16 @@ def test_every_stage_against_brute_force(spark):
             groups = test_near_dups.brute(list(before.items()), 5, 80)
             assert after == {d: before[d] for d, (_, c) in groups.items() if d == c}
         elif name == "substring_dedup":
+            # a fuzzy passage holds shorter exact runs: only texts without any must stay as they are
             shared = {}
             for d, t in before.items():
-                for run in runs(t, 45):
+                for run in runs(t, 8):
                     shared.setdefault(run, set()).add(d)
             repeated = {d for ds in shared.values() if len(ds) > 1 for d in ds}
+            assert len(repeated) < len(before) / 2
             assert all(after[d] == before[d] for d in before if d not in repeated)
             left = [run for t in after.values() for run in runs(t, 60)]
-            assert len(left) == len(set(left)) or not repeated
+            assert len(left) == len(set(left))
         elif name == "decontamination":
             asked = [" ".join(TOKEN.findall(t.lower())) for t in items]
             held = {d for d, t in before.items() if any(f" {a} " in f" {' '.join(TOKEN.findall(t.lower()))} " for a in asked)}
