@@ -3,10 +3,15 @@
 1. Every document gives winnowed seeds: of each run of ``WINDOW`` consecutive
    k-mers of words the one with the smallest hash, numbered by its earlier
    occurrences in the same document.  Two documents that share a run of
-   ``K + WINDOW - 1`` words share a seed.
+   ``SHORT + WINDOW - 1`` words share a seed.  A second level of long seeds (four
+   fifths of ``min_words``) is winnowed so that every run of ``min_words`` holds
+   one: a passage made of lines that stand alone in earlier documents is found
+   by the seeds that reach over the lines' borders.
 2. A seed's first occurrence (smallest document id, then position) stands for
-   all; every other occurrence is an anchor to it.  A passage in n documents
-   thus makes n - 1 anchors a seed, never n * n.
+   all; every other occurrence is an anchor to it, and so are the later ones in
+   the same document.  A passage in n documents thus makes at most two
+   anchors for each occurrence of a seed, never n * n.  One long seed is enough
+   for a chain, of the short ones it takes two.
 3. The anchors of a document with one earlier document are chained: both
    positions must grow, gaps cost, and the best predecessor comes from a
    Fenwick tree of prefix maxima.  Long gaps split a chain.
@@ -34,7 +39,8 @@ from avionyx.llm.near_dups import mix
 from avionyx.llm.text import WORD, free_name, lower_az, slices
 from avionyx.session import materialize
 
-K, WINDOW = 5, 10
+# An anchor's score in a chain; words in a short seed, and how many runs each is the smallest of.
+K, SHORT, WINDOW = 5, 5, 10
 GAP_COST = 0.04
 LONGEST_GAP = 40
 BLOCK = 128
@@ -50,50 +56,82 @@ def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
     return np.split(h, np.cumsum([len(ws) for ws in found])[:-1]) if found else []
 
 
-def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Winnowed k-mer seeds of one document: keys and word positions."""
-    n = len(words) - K + 1
+def _codes(words: np.ndarray, k: int) -> np.ndarray:
+    """A 64-bit hash of every run of ``k`` words."""
+    n = len(words) - k + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+        return np.zeros(0, np.uint64)
     code = np.zeros(n, np.uint64)
-    for j in range(K):
+    for j in range(k):
         code = code * np.uint64(0x9E3779B97F4A7C15) + words[j : j + n]
-    code = mix(code)
-    if n <= WINDOW:
-        at = np.array([n - 1 - int(np.argmin(code[::-1]))])
-    else:
-        views = np.lib.stride_tricks.sliding_window_view(code, WINDOW)
-        at = np.unique(np.arange(len(views)) + WINDOW - 1 - np.argmin(views[:, ::-1], axis=1))
-    picked = code[at]
+    return mix(code + np.uint64(k))
+
+
+def _winnow(code: np.ndarray, window: int) -> np.ndarray:
+    """Places of the smallest hash of each run of ``window``, the last one of equals."""
+    n = len(code)
+    if n <= window:
+        return np.array([n - 1 - int(np.argmin(code[::-1]))] if n else [], np.int64)
+    views = np.lib.stride_tricks.sliding_window_view(code, window)
+    return np.unique(np.arange(len(views)) + window - 1 - np.argmin(views[:, ::-1], axis=1))
+
+
+def _numbered(picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys that differ for each earlier equal seed, and how many there are."""
+    rank = np.zeros(len(picked), np.int64)
     order = np.argsort(picked, kind="stable")
     same = np.concatenate([[False], picked[order][1:] == picked[order][:-1]])
     if same.any():
-        run = np.arange(len(at))
-        rank = run - np.maximum.accumulate(np.where(same, 0, run))
-        number = np.empty(len(at), np.uint64)
-        number[order] = rank.astype(np.uint64)
-        picked = np.where(number > 0, mix(picked + number * np.uint64(0xD6E8FEB86659FD93)), picked)
-    return picked.view(np.int64), at.astype(np.int32)
+        run = np.arange(len(picked))
+        rank[order] = run - np.maximum.accumulate(np.where(same, 0, run))
+        number = rank.astype(np.uint64)
+        picked = np.where(rank > 0, mix(picked + number * np.uint64(0xD6E8FEB86659FD93)), picked)
+    return picked, rank
+
+
+def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Winnowed k-mer seeds of one document: keys and word positions."""
+    code = _codes(words, SHORT)
+    at = _winnow(code, WINDOW)
+    return _numbered(code[at])[0].view(np.int64), at.astype(np.int32)
+
+
+def long_size(min_words: int) -> int:
+    """Words in a long seed: every run of ``min_words`` holds a winnowed one."""
+    return max(SHORT, min_words * 4 // 5)
 
 
-def _seed_rows(docs: DataFrame) -> DataFrame:
+def all_seeds(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, plain keys, positions and lengths of the seeds of both levels.
+
+    The plain key of a seed's first occurrence in the document is 0 (its key is plain).
+    """
+    parts = []
+    size = long_size(min_words)
+    for k, window in ((SHORT, WINDOW), (size, min_words - size + 1)):
+        code = _codes(words, k)
+        at = _winnow(code, window)
+        key, rank = _numbered(code[at])
+        parts.append((key.view(np.int64), np.where(rank > 0, code[at].view(np.int64), 0), at.astype(np.int32), np.full(len(at), k, np.int32)))
+    return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
+
+
+def _seed_rows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in slices(texts):
-                made = [(d, *seeds(w)) for d, w in zip(ids[lo:hi], word_hashes(texts[lo:hi]), strict=True)]
+                made = [(d, *all_seeds(w, min_words)) for d, w in zip(ids[lo:hi], word_hashes(texts[lo:hi]), strict=True)]
                 made = [m for m in made if len(m[1])]
                 if made:
+                    key, plain, pos, size = (np.concatenate(c) for c in list(zip(*made, strict=True))[1:])
+                    owner = np.repeat(np.array([m[0] for m in made], np.int64), [len(m[1]) for m in made])
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.concatenate([s for _, s, _ in made])),
-                            pa.array(np.concatenate([np.full(len(s), d, np.int64) for d, s, _ in made])),
-                            pa.array(np.concatenate([p for _, _, p in made])),
-                        ],
-                        names=["seed", "doc_id", "pos"],
+                        [pa.array(key), pa.array(plain, mask=plain == 0), pa.array(owner), pa.array(pos), pa.array(size)],
+                        names=["seed", "plain", "doc_id", "pos", "size"],
                     )
 
-    return docs.where("doc_id is not null").mapInArrow(run, "seed long, doc_id long, pos int")
+    return docs.where("doc_id is not null").mapInArrow(run, "seed long, plain long, doc_id long, pos int, size int")
 
 
 def chain(anchors: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
@@ -146,6 +184,20 @@ def chain(anchors: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
     return out
 
 
+def uncovered(chains: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
+    """The chains, without those in whose range a longer kept one has as many anchors."""
+    kept: list[list[tuple[int, int]]] = []
+    held: dict[int, list[np.ndarray]] = {}  # by the blocks that a kept chain reaches
+    for part in sorted(chains, key=lambda c: -len(c)):
+        lo, hi = part[0][0], part[-1][0]
+        if not any(np.searchsorted(x, hi, side="right") - np.searchsorted(x, lo) >= len(part) for x in held.get(lo // BLOCK, ())):
+            kept.append(part)
+            x = np.array([a for a, _ in part])
+            for block in range(lo // BLOCK, hi // BLOCK + 1):
+                held.setdefault(block, []).append(x)
+    return kept
+
+
 def lcs(a: list[int], b: list[int]) -> int:
     """Length of the longest common subsequence, by bit-parallel rows."""
     where: dict[int, int] = {}
@@ -183,7 +235,7 @@ def align(points: list[tuple[int, int]], x: np.ndarray, x0: int, y: np.ndarray,
     held = [
         (a - x0, b - y0)
         for a, b in points
-        if a >= x0 and b >= y0 and a - x0 + K <= len(x) and b - y0 + K <= len(y) and (x[a - x0 : a - x0 + K] == y[b - y0 : b - y0 + K]).all()
+        if a >= x0 and b >= y0 and a - x0 + SHORT <= len(x) and b - y0 + SHORT <= len(y) and (x[a - x0 : a - x0 + SHORT] == y[b - y0 : b - y0 + SHORT]).all()
     ]
     if not held:
         return None
@@ -192,17 +244,17 @@ def align(points: list[tuple[int, int]], x: np.ndarray, x0: int, y: np.ndarray,
     ex, ey = px, py
     for a, b in held:
         if a < ex or b < ey:  # overlaps what is aligned: only its new tail on the same diagonal
-            if a - ex != b - ey or a + K <= ex:
+            if a - ex != b - ey or a + SHORT <= ex:
                 continue
-            matched += a + K - ex
+            matched += a + SHORT - ex
         else:
             gx, gy = x[ex:a], y[ey:b]
             if len(gx) == len(gy):
                 matched += max(int((gx == gy).sum()), 0)
             elif len(gx) and len(gy):
                 matched += lcs(gx.tolist(), gy.tolist())
-            matched += K
-        ex, ey = a + K, b + K
+            matched += SHORT
+        ex, ey = a + SHORT, b + SHORT
     right, more = _extend(x[ex:], y[ey:])
     return x0 + px - left, x0 + ex + right, y0 + py - left, y0 + ey + right, matched + more
 
@@ -211,18 +263,19 @@ def _chains(anchors: DataFrame) -> DataFrame:
     """Chains of each document with each earlier document, as flat anchor lists."""
     pairs = (
         anchors.groupBy("doc_id", "first_id")
-        .agg(F.collect_list(F.struct("pos", "first_pos")).alias("at"))
-        .where(F.size("at") > 1)
-        .select("doc_id", "first_id", F.col("at.pos").alias("x"), F.col("at.first_pos").alias("y"))
+        .agg(F.collect_list(F.struct("pos", "first_pos", "size")).alias("at"))
+        .where((F.size("at") > 1) | (F.col("at")[0]["size"] > SHORT))
+        .select("doc_id", "first_id", F.col("at.pos").alias("x"), F.col("at.first_pos").alias("y"), F.col("at.size").alias("size"))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for d, f, x, y in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                for part in chain(list(zip(x, y, strict=True))):
-                    if len(part) > 1:
-                        rows.append((d, f, [a for a, _ in part], [b for _, b in part]))
+            for d, f, x, y, size in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                # a long seed counts as the short ones at its two ends
+                points = [p for a, b, n in zip(x, y, size, strict=True) for p in ((a, b), (a + n - SHORT, b + n - SHORT))]
+                for part in uncovered([c for c in chain(points) if len(c) > 1]):
+                    rows.append((d, f, [a for a, _ in part], [b for _, b in part]))
             cols = list(zip(*rows, strict=True)) or [[], [], [], []]
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays(
@@ -268,12 +321,15 @@ def repeated_passages(
     ``text_hash`` (xxhash64 of the text that the range counts in).
     """
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    rows = materialize(_seed_rows(docs), "seeds")
+    rows = materialize(_seed_rows(docs, min_words), "seeds")
     shared = rows.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "pos")).alias("first")).where("n > 1")
+    first = shared.select("seed", F.col("first.doc_id").alias("first_id"), F.col("first.pos").alias("first_pos"))
+    firsts = materialize(first, "firsts")
     anchors = (
-        rows.join(shared.select("seed", F.col("first.doc_id").alias("first_id"), F.col("first.pos").alias("first_pos")), "seed")
+        rows.select("seed", "doc_id", "pos", "size")
+        .join(firsts, "seed")
         .where("doc_id <> first_id")
-        .select("doc_id", "first_id", "pos", "first_pos")
+        .select("doc_id", "first_id", "pos", "first_pos", "size")
     )
     chains = materialize(_chains(anchors), "chains")
     span = lambda c: (F.element_at(c, 1), F.element_at(c, -1))
@@ -287,7 +343,7 @@ def repeated_passages(
         F.explode(
             F.sequence(
                 F.floor(F.greatest(F.col("lo") - REACH, F.lit(0)) / BLOCK).cast("int"),
-                F.floor((F.col("hi") + K + REACH) / BLOCK).cast("int"),
+                F.floor((F.col("hi") + SHORT + REACH) / BLOCK).cast("int"),
             )
         ).alias("block"),
     )

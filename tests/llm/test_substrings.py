@@ -112,3 +112,19 @@ def test_repeated_rows_and_seed_numbers(spark):
     w = np.array([7] * 50, np.uint64)
     keys, at = substrings.seeds(w)
     assert len(set(keys.tolist())) == len(keys) == len(at)
+
+
+def test_lines_that_stand_alone_earlier(spark):
+    rng = random.Random(13)
+    rows, want = [], {}
+    for i, (lines, size) in enumerate([(2, 25), (2, 30), (2, 40), (3, 18), (3, 40), (4, 40)] * 10):
+        parts = [words(rng, size) for _ in range(lines)]
+        for j, part in enumerate(parts):
+            rows.append((10 * i + j, " ".join(words(rng, 50) + part + words(rng, 50))))
+        whole = sum(parts, [])
+        rows += [(10 * i + 8, " ".join(words(rng, 20) + whole + words(rng, 20))), (10 * i + 9, " ".join(words(rng, 33) + whole))]
+        want[10 * i + 9] = (10 * i + 8, 33, 33 + len(whole))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["first_id"], r["start_word"], r["end_word"]) for r in substrings.repeated_passages(docs).collect()]
+    for d, (first, lo, hi) in want.items():
+        assert (d, first, lo, hi) in got
