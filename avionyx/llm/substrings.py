@@ -40,7 +40,7 @@ from avionyx.llm.text import WORD, free_name, lower_az, slices
 from avionyx.session import materialize
 
 # An anchor's score in a chain; words in a short seed, and how many runs each is the smallest of.
-K, SHORT, WINDOW = 5, 5, 10
+K, SHORT, WINDOW = 5, 4, 3
 GAP_COST = 0.04
 LONGEST_GAP = 40
 BLOCK = 128

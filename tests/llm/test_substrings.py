@@ -114,6 +114,28 @@ def test_repeated_rows_and_seed_numbers(spark):
     assert len(set(keys.tolist())) == len(keys) == len(at)
 
 
+def test_recall_of_fuzzy_passages(spark):
+    """Passages of 50 to 80 words with one word in ten to one in six replaced."""
+    rng = random.Random(12)
+    rows, want = [], {}
+    for i in range(400):
+        length, identity, even = rng.choice([50, 60, 80]), (0.9, 0.85)[i % 2], i % 4 < 2
+        passage = words(rng, length)
+        copy, edits = list(passage), int(length * (1 - identity) + 1e-9)
+        for p in (range(3, length, -(-length // edits)) if even else rng.sample(range(length), edits)):
+            copy[p] = f"e{rng.randrange(10**7)}"
+        rows += [(i, " ".join(words(rng, 40) + passage + words(rng, 40))), (1000 + i, " ".join(words(rng, 30) + copy + words(rng, 50)))]
+        want[1000 + i] = (identity, even)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"] for r in substrings.repeated_passages(docs).collect()}
+    assert got <= set(want)
+    for kind in sorted(set(want.values())):
+        asked = [d for d, k in want.items() if k == kind]
+        share = sum(d in got for d in asked) / len(asked)
+        print("recall", kind, share)
+        assert share >= 0.9, (kind, share)
+
+
 def test_lines_that_stand_alone_earlier(spark):
     rng = random.Random(13)
     rows, want = [], {}
