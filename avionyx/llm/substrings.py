@@ -324,9 +324,12 @@ def repeated_passages(
     rows = materialize(_seed_rows(docs, min_words), "seeds")
     shared = rows.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "pos")).alias("first")).where("n > 1")
     first = shared.select("seed", F.col("first.doc_id").alias("first_id"), F.col("first.pos").alias("first_pos"))
+    # a later copy in one document also meets the first occurrence of the plain seed
+    later = rows.where("plain is not null").select(F.col("plain").alias("seed"), "doc_id", "pos", "size")
     firsts = materialize(first, "firsts")
     anchors = (
         rows.select("seed", "doc_id", "pos", "size")
+        .unionAll(later)
         .join(firsts, "seed")
         .where("doc_id <> first_id")
         .select("doc_id", "first_id", "pos", "first_pos", "size")

@@ -150,3 +150,14 @@ def test_lines_that_stand_alone_earlier(spark):
     got = [(r["doc_id"], r["first_id"], r["start_word"], r["end_word"]) for r in substrings.repeated_passages(docs).collect()]
     for d, (first, lo, hi) in want.items():
         assert (d, first, lo, hi) in got
+
+
+def test_every_copy_in_a_later_document_is_found(spark):
+    rng = random.Random(14)
+    passage = words(rng, 70)
+    copies = [x for _ in range(3) for x in words(rng, 60) + passage]
+    docs = spark.createDataFrame([(5, " ".join(words(rng, 30) + passage)), (9, " ".join(copies))], "doc_id long, text string")
+    got = sorted((r["start_word"], r["end_word"]) for r in substrings.repeated_passages(docs).collect() if r["first_id"] == 5)
+    assert got == [(60, 130), (190, 260), (320, 390)]
+    left = {r["doc_id"]: r["text"].split() for r in substrings.cut_repeats(docs, size_col=None).collect()}
+    assert len(left[9]) == 180 and not set(left[9]) & set(passage)
