@@ -5,8 +5,8 @@
 2. Every other url goes to the method.  The labels of its host are cut into words
    by a unigram Viterbi search: the cut with the largest product of word
    probabilities, where words and counts come from the text of all pages (and a
-   fixed list of unwanted words, which hosts hold but clean pages rarely do); a
-   run of characters that is no word costs more the longer it is.
+   fixed list of unwanted words, which hosts hold but clean pages rarely do),
+   scaled to a fixed total; words mentioned too rarely are unknown; a run of characters that is no word costs more the longer it is.
 3. Multinomial naive Bayes scores the tokens (host words, path tokens).  It is
    trained on all urls: a url whose cut host holds an unwanted word is a positive
    example, any other a negative one; with the counts of every token in both
@@ -43,7 +43,12 @@ Rule = tuple[str, str, str]
 
 LONGEST_WORD = 24
 LONGEST_LABEL = 63
-UNWANTED_COUNT = 50
+# Probability of an unwanted word besides its mentions, the total that counts are
+# scaled to, and the mentions (also as a share of all) below which a word of the
+# pages is unknown: a host's own joined name, printed here and there, is no word.
+UNWANTED_SHARE = 1e-5
+TOTAL = 10**8
+LEAST_COUNT, LEAST_SHARE = 5, 1e-7
 PRIOR = 1.0
 
 WORD = re.compile(r"[a-z0-9]+")
@@ -118,6 +123,13 @@ def cut(label: str, counts: dict[str, int], total: int) -> list[str]:
     return out[::-1]
 
 
+def scaled(words: DataFrame, total: int) -> DataFrame:
+    """``word, n``: counts as they would be in ``TOTAL`` words, so that a cut doesn't depend on the corpus' size."""
+    known = words.where(F.col("n") >= max(LEAST_COUNT, LEAST_SHARE * total)).select("word", (F.col("n") * (TOTAL / max(total, 1))).alias("n"))
+    unwanted = words.sparkSession.createDataFrame([(w, UNWANTED_SHARE * TOTAL) for w in UNWANTED], "word string, n double")
+    return known.unionByName(unwanted).groupBy("word").agg(F.sum("n").alias("n"))
+
+
 def cut_labels(labels: DataFrame, words: DataFrame) -> DataFrame:
     """``label, words`` for the distinct values of ``labels.label``.
 
@@ -125,10 +137,8 @@ def cut_labels(labels: DataFrame, words: DataFrame) -> DataFrame:
     the domain name system); longer ones are cut in pieces of that length.
     """
     # one number for the whole corpus
-    total = int(words.agg(F.sum("n")).first()[0] or 0) + UNWANTED_COUNT * len(UNWANTED)
-    spark = labels.sparkSession
-    seeded = words.unionByName(spark.createDataFrame([(w, UNWANTED_COUNT) for w in UNWANTED], "word string, n long"))
-    seeded = seeded.groupBy("word").agg(F.sum("n").alias("n"))
+    total = int(words.agg(F.sum("n")).first()[0] or 0)
+    seeded = scaled(words, total)
     distinct = labels.select("label").distinct()
     spans = distinct.select(
         "label",
@@ -147,7 +157,7 @@ def cut_labels(labels: DataFrame, words: DataFrame) -> DataFrame:
             for label, known in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 counts = {k["word"]: k["n"] for k in known or ()}
                 pieces = [label[i : i + LONGEST_LABEL] for i in range(0, len(label), LONGEST_LABEL)]
-                out.append([w for p in pieces for w in cut(p, counts, total)])
+                out.append([w for p in pieces for w in cut(p, counts, TOTAL)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))], names=["label", "words"])
 
     return distinct.join(known, "label", "left").select("label", "known").mapInArrow(run, "label string, words array<string>")

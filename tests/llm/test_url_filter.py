@@ -80,3 +80,12 @@ def test_unwanted_hosts_are_blocked(spark):
     assert bad and all(r["verdict"] == "block" for r in bad)
     rest = [r for r in free if r not in bad]
     assert sum(r["verdict"] == "block" for r in rest) <= 0.02 * len(rest)
+
+
+def test_cuts_do_not_depend_on_the_corpus_size(spark):
+    hosts = {"winbet": ["win", "bet"], "sexads": ["sex", "ads"], "freebet": ["free", "bet"], "pornxxx": ["porn", "xxx"], "casinowin": ["casino", "win"], "weather": ["weather"]}
+    labels = spark.createDataFrame([(h,) for h in hosts], "label string")
+    for total in (10**5, 10**6, 10**8, 10**9, 10**10, 10**11):
+        words = spark.createDataFrame([("the", total - total // 1000 - 1), ("weather", total // 1000), ("casinowin", 1)], "word string, n long")
+        got = {r["label"]: r["words"] for r in url_filter.cut_labels(labels, words).collect()}
+        assert got == hosts, total
