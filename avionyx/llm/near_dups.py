@@ -157,8 +157,13 @@ def _sketches(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``(node, shingles)`` of the wanted classes, from the text of one document each."""
-    texts = docs.join(wanted, "doc_id").select("node", "text")
+    """``(node, shingles)`` of the wanted classes, from the text of one row each.
+
+    The row is told by its id, which may be null, and the hash of its text.
+    """
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.text_hash") == F.col("w.text_hash"))
+    texts = rows.join(wanted.alias("w"), same).select("w.node", "d.text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,8 +273,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     rows = materialize(_sketches(docs, k), "sketches")
     filled = rows.where("n_shingles > 0")
-    # one document stands for the texts of a class; its id is only needed to find the text again
-    classes = filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    # one row stands for the texts of a class; its id and hash are only needed to find the text again
+    classes = filled.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("row")).select("node", "row.doc_id", "row.text_hash")
     banded = filled.select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("bucket"))
     hubs = (
         banded.groupBy("bucket")
