@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from avionyx.llm import bpe, language, latent, near_dups, quality, sharding, substrings, toxicity, url_filter, warc
+from avionyx.llm import (
+    bpe,
+    language,
+    latent,
+    mixing,
+    near_dups,
+    prefix_trie,
+    quality,
+    ranking,
+    sharding,
+    substrings,
+    toxicity,
+    url_filter,
+    warc,
+)
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -93,6 +107,20 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80).drop("text_hash")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    heads = language.fold(F.col("conv_id"), 4)
+    return prefix_trie.prefix_nodes(prefix_trie.with_shared_heads(convs, 20, heads, 3))
+
+
+def op12_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most_epochs=3)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_normalise": op1_warc_normalise,
     "op2_latent_decontamination": op2_latent_decontamination,
@@ -104,4 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_weighted_mix": op12_weighted_mix,
+    "op13_ranked_search": op13_ranked_search,
 }
