@@ -201,3 +201,47 @@ def check_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def named_rows(rows: DataFrame, table: str, names: Column) -> DataFrame:
+    """(table_name, kind, constraint_name, row): one per row and element of
+    ``names`` (kind, name), the row as JSON."""
+    columns = [c for c in rows.columns if c != "violated"]
+    return rows.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("row"), F.explode(names).alias("v")).select(
+        F.lit(table).alias("table_name"), F.col("v.kind").alias("kind"), F.col("v.name").alias("constraint_name"), "row"
+    )
+
+
+def violating_rows(tables: Mapping[str, DataFrame], failed: set[tuple[str, str, str]]) -> DataFrame | None:
+    """The rows behind the ``failed`` (table_name, kind, constraint_name) of ``check_tables``.
+
+    NOT NULL, CHECK and length share one scan of a table, in which a row
+    names all it breaks; of a UNIQUE all rows of a repeated key are kept, found by
+    a semi join with the repeated keys.
+    """
+    parts: list[DataFrame] = []
+    for table, cons in warehouse_constraints().items():
+        if table not in tables:
+            continue
+        df = tables[table]
+        flags = [("not_null", c, F.col(c).isNull()) for c in cons.not_null]
+        flags += [("domain", n, ~F.coalesce(rule, F.lit(True))) for n, rule in cons.domain.items()]
+        flags += [("length", f"{c}<={n}", F.coalesce(F.length(c) > F.lit(n), F.lit(False))) for c, n in cons.length.items()]
+        flags = [f for f in flags if (table, f[0], f[1]) in failed]
+        if flags:
+            named = [F.when(bad, F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("name"))) for kind, name, bad in flags]
+            parts.append(named_rows(df, table, F.array_compact(F.array(*named))))
+        for keys in cons.unique:
+            name = "+".join(keys)
+            if (table, "unique", name) in failed:
+                again = df.join(check_unique(df, keys).select(*keys), list(keys), "left_semi").select(*df.columns)
+                parts.append(named_rows(again, table, F.array(F.struct(F.lit("unique").alias("kind"), F.lit(name).alias("name")))))
+        for col, ref in cons.foreign:
+            name = f"{col}->{ref}"
+            if ref in tables and (table, "foreign_key", name) in failed:
+                lost = check_foreign_key(df, [col], tables[ref]).select(*df.columns)
+                parts.append(named_rows(lost, table, F.array(F.struct(F.lit("foreign_key").alias("kind"), F.lit(name).alias("name")))))
+    out = None
+    for p in parts:
+        out = p if out is None else out.unionByName(p)
+    return out

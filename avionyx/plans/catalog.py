@@ -507,24 +507,40 @@ def check_length_registration(spark, sf_dir):
     return bad.select("Aircraft_ID", "Aircraft_Registration_Code", "violated")
 
 
-@query()
-def warehouse_checks_violated(spark, sf_dir):
-    """Counts of the gate over tables that break a constraint of every kind:
-    daily totals doubled, with the keys of unknown aircraft left null and the
-    delay negated; a dimension that lost every third date; long registrations."""
+def _broken_tables(spark, sf_dir):
+    """Tables that break a constraint of every kind: daily totals doubled, with
+    the keys of unknown aircraft left null and the delay negated; a dimension
+    that lost every third date; long registrations."""
     wh = _wh(spark, sf_dir)
     daily = facts.resolve_keys(wh.daily_aggregates, facts.flight_daily_lookups(wh.dates, wh.aircrafts))
     daily = daily.withColumn("TDM", -F.col("TDM"))
     aircrafts = wh.aircrafts.withColumn(
         "Aircraft_Registration_Code", F.concat(F.lit("0123456789"), F.col("Aircraft_Registration_Code"))
     )
-    return integrity.check_tables(
-        {
-            "Flight_Operations_Daily": daily.unionByName(daily),
-            "Aircrafts": aircrafts,
-            "Dates": wh.dates.where("Date_ID % 3 <> 0"),
-        }
-    )
+    return {
+        "Flight_Operations_Daily": daily.unionByName(daily),
+        "Aircrafts": aircrafts,
+        "Dates": wh.dates.where("Date_ID % 3 <> 0"),
+    }
+
+
+@query()
+def warehouse_checks_violated(spark, sf_dir):
+    """Counts of the gate over tables that break a constraint of every kind."""
+    return integrity.check_tables(_broken_tables(spark, sf_dir))
+
+
+@query()
+def etl_refused(spark, sf_dir):
+    """The gate refuses those tables: the rows it kept, a row for each constraint it breaks."""
+    root = scratch_path(spark, "warehouse")
+    try:
+        warehouse.gate(_broken_tables(spark, sf_dir), {}, root)
+    except warehouse.ConstraintViolation:
+        rows = spark.read.option("basePath", f"{root}/_refused").parquet(f"{root}/_refused/load=*")
+        key = lambda name: F.get_json_object("row", f"$.{name}").cast("int").alias(name)
+        return rows.select("table_name", "kind", "constraint_name", key("Date_ID"), key("Aircraft_ID"))
+    raise RuntimeError("the gate let broken tables pass")
 
 
 @query()
@@ -585,3 +601,30 @@ def etl_append(spark, sf_dir):
     stored = warehouse.read_warehouse(spark, path)
     rows = stored.flight_daily.join(stored.dates, "Date_ID").join(stored.aircrafts, "Aircraft_ID")
     return rows.select("Full_Date", "Aircraft_Registration_Code", "FH", "Takeoffs", "DFC", "CFC", "TDM")
+
+
+# Two loads by date meet on a day on which flights of the evening before still overlap.
+SECOND_LOAD_FROM = "1996-06-24 00:00:00"
+
+
+@query()
+def br2_two_loads(spark, sf_dir):
+    """Q2 across loads: the flights before and from a date, loaded one after the
+    other.  The stored daily facts and the overlaps that the two loads report
+    equal those of one load."""
+    from . import etl
+
+    src = _src(spark, sf_dir)
+    second = F.coalesce(F.col("scheduleddeparture") >= F.lit(SECOND_LOAD_FROM).cast("timestamp_ntz"), F.lit(False))
+    path = scratch_path(spark, "warehouse")
+    first = etl.load_warehouse(src._replace(flights=src.flights.where(~second)), path)
+    empty = F.lit(False)
+    later = src._replace(flights=src.flights.where(second), maintenance=src.maintenance.where(empty), reports=src.reports.where(empty))
+    found = first.violations.unionByName(etl.load_warehouse(later, path, reset=False).violations).where("rule = 'BR2'")
+    stored = warehouse.read_warehouse(spark, path)
+    rows = stored.flight_daily.join(stored.dates, "Date_ID").join(stored.aircrafts, "Aircraft_ID")
+    measures_ = ["FH", "Takeoffs", "DFC", "CFC", "TDM"]
+    kept = rows.select(
+        F.lit("fact").alias("kind"), F.col("Aircraft_Registration_Code").alias("registration"), F.lit(None).cast("string").alias("record_id"), "Full_Date", *measures_
+    )
+    return kept.unionByName(found.select(F.lit("violation").alias("kind"), "registration", "record_id"), allowMissingColumns=True)

@@ -9,18 +9,27 @@ constraints, and an appended fact row whose primary key is stored already
 breaks one: a violation stops the load before anything is published, as a
 failing bulk insert would, and the error names the failed checks.
 
-An appended load must cover closed periods (or other aircraft): the overlap
-rule BR2 sees the flights of its own load only, and a day or month whose facts
-are stored can't be added to.
+The overlap rule BR2 reaches across loads.  A load keeps a boundary table
+(``_open_flights``): the last flown flights of each aircraft, whose next
+departure a later load may still bring, with the other flights of their days.
+The facts of those days are stored in a folder of their own.  The next load
+judges the boundary flights together with its own, writes the facts of their
+days anew and replaces both, so flights loaded in parts by date give the
+violations and facts of one load.  A load whose flights depart more than
+``OPEN_WINDOW`` before the last stored departure of their aircraft comes too
+late to be judged and is refused.  An id names one flight: rows of different
+loads that share an id are only removed together while they are in the
+boundary table.  Any other day or month whose facts are stored can't be added to.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import day_of
 from ..operators import cleaning, facts, keys
 from ..operators.joins import bounded_broadcast
 from ..session import materialize
@@ -28,6 +37,7 @@ from ..sources import FleetSources, schemas
 from . import store
 from .warehouse import (
     DIMENSION_TABLES,
+    FACT_TABLES,
     BuiltWarehouse,
     ConstraintViolation,
     Warehouse,
@@ -36,6 +46,10 @@ from .warehouse import (
     write_warehouse,
 )
 
+OPEN_FLIGHTS = "_open_flights"
+# A departure may come in a later load than one up to so much later.
+OPEN_WINDOW = "INTERVAL 2 DAYS"
+
 __all__ = ["ConstraintViolation", "LoadReport", "load_warehouse", "stored_row_counts"]
 
 
@@ -71,36 +85,75 @@ def _rekey(wh: BuiltWarehouse, stored: dict[str, DataFrame]) -> Warehouse:
     )
 
 
+def _window() -> Column:
+    return F.expr(OPEN_WINDOW)
+
+
+def _late_flights(flights: DataFrame, boundary: DataFrame) -> DataFrame:
+    """Flown flights that depart before the open window of their aircraft."""
+    last = boundary.filter(~F.col(cleaning.SETTLED)).groupBy(F.col(facts.REG).alias("_reg")).agg(F.max(cleaning.AD).alias("_last"))
+    last = bounded_broadcast(materialize(last, "boundary-ends"))
+    flown = flights.filter(~F.coalesce(F.col(cleaning.CANCELLED), F.lit(False)))
+    return flown.join(last, (F.col(facts.REG) == F.col("_reg")) & (F.col(cleaning.AD) < F.col("_last") - _window()), "left_semi")
+
+
+def _open_keys(opened: DataFrame, dates: DataFrame, aircrafts: DataFrame) -> DataFrame:
+    """Keys of the daily facts of the days that hold a boundary flight."""
+    days = opened.filter(~F.col(cleaning.SETTLED) & ~F.col(cleaning.GONE)).select(day_of("scheduleddeparture").alias("Full_Date"), facts.REG).distinct()
+    found = facts.resolve_keys(days, facts.flight_daily_lookups(dates, aircrafts), "inner")
+    return bounded_broadcast(materialize(found.select(*facts.FLIGHT_DAILY_KEYS), "open-keys"))
+
+
 def load_warehouse(src: FleetSources, path: str, clean: bool = True, reset: bool = True) -> LoadReport:
     spark = src.flights.sparkSession
     root = path.rstrip("/")
     before = None if reset else store.published(spark, root)
-    stored = {} if before is None else {t: before.read(spark, t) for t in schemas.WAREHOUSE_TABLES if t in before.folders}
+    boundary = before.read(spark, OPEN_FLIGHTS) if before is not None and clean and OPEN_FLIGHTS in before.folders else None
+    stored: dict[str, DataFrame] = {}
+    for t in schemas.WAREHOUSE_TABLES:
+        if before is not None and t in before.folders:
+            daily = t == "Flight_Operations_Daily"
+            stored[t] = before.read(spark, t, with_period=t in FACT_TABLES, closed=daily and boundary is not None)
     absent = [t for t in DIMENSION_TABLES if t not in stored]
     if before is not None and absent:
         raise ValueError(f"the warehouse under {root} lacks {', '.join(absent)}; facts can't be appended without their dimensions")
 
     swapped = cleaning.swap_inverted_times(src.flights)
-    flagged = cleaning.flag_overlaps(swapped) if clean else None
-    built = build_warehouse(src, clean, flagged).prepared()
+    judged, late = None, {}
+    if clean:
+        flights = swapped
+        if boundary is not None:
+            late["flights", "order", "departs before the open window"] = _late_flights(swapped, boundary)
+            new = swapped.withColumns({cleaning.SETTLED: F.lit(False), cleaning.GONE: F.lit(False)})
+            flights = new.unionByName(boundary)
+        judged = cleaning.judge_overlaps(flights)
+    built = build_warehouse(src, clean, judged).prepared()
     wh = _rekey(built, stored) if before is not None else built
-    checks = gate(wh.tables(), stored)
+    checks = gate(wh.tables(), stored, root, late)
 
     lookup = bounded_broadcast(src.aircraft)
-    violations = (
-        cleaning.br1_violations(src.flights)
-        .unionByName(cleaning.br2_violations(swapped, flagged))
-        .unionByName(cleaning.br3_violations(src.reports, lookup))
-        if clean
-        else spark.createDataFrame([], "rule string, record_id string, registration string, detail string")
-    )
+    more: dict[str, DataFrame] = {}
+    still_open = None
+    if judged is not None:
+        # flights removed by an earlier load were reported then
+        flagged = judged.flagged.filter(~F.col(cleaning.GONE)) if boundary is not None else judged.flagged
+        violations = (
+            cleaning.br1_violations(src.flights)
+            .unionByName(cleaning.br2_violations(swapped, flagged))
+            .unionByName(cleaning.br3_violations(src.reports, lookup))
+        )
+        opened = materialize(cleaning.open_flights(judged, day_of("scheduleddeparture"), _window()), "boundary")
+        more[OPEN_FLIGHTS] = opened
+        still_open = {"Flight_Operations_Daily": _open_keys(opened, wh.dates, wh.aircrafts)}
+    else:
+        violations = spark.createDataFrame([], "rule string, record_id string, registration string, detail string")
     rejects = {
         "Flight_Operations_Daily": wh.rejects_flight_daily(),
         "Aircraft_Monthly_Summary": wh.rejects_monthly(),
         "Logbooks": wh.rejects_logbooks(),
     }
-    more = {"_violations": violations} | {f"_rejects_{n}": df for n, df in rejects.items()}
-    now = write_warehouse(wh, root, reset=reset, more=more)
+    more |= {"_violations": violations} | {f"_rejects_{n}": df for n, df in rejects.items()}
+    now = write_warehouse(wh, root, reset=reset, more=more, still_open=still_open)
     return LoadReport(
         path=root,
         checks=checks,

@@ -3,6 +3,7 @@
 import re
 
 from conftest import SMOKE_DIR
+from pyspark.sql import functions as F
 
 from avionyx.operators import cleaning
 from avionyx.plans import baseline, kpis
@@ -81,3 +82,22 @@ def test_fact_key_lookups_broadcast_the_dimensions(spark):
         p = _final_plan(fact)
         assert "BroadcastHashJoin" in p
         assert "SortMergeJoin" not in p and "ShuffledHashJoin" not in p
+
+
+def test_overlap_removal_moves_no_whole_row_by_id(spark):
+    from avionyx.session import BROADCAST_ROWS_CONF
+
+    flights = cleaning.swap_inverted_times(load_test_sources(spark, SMOKE_DIR).flights)
+    again = flights.limit(40).withColumns({"cancelled": F.lit(True)})  # ids that occur twice
+    for rows in (flights, flights.unionByName(again)):
+        judged = cleaning.judge_overlaps(rows)
+        assert (judged.shared is None) == (rows is flights)
+        p = _final_plan(cleaning.drop_overlapping_flights(rows, judged))
+        assert "hashpartitioning(id" not in p and "rangepartitioning" not in p
+        assert ("Join" in p) == (rows is not flights)
+    # beyond the broadcast bound the ids that occur twice meet the rows by a shuffle
+    spark.conf.set(BROADCAST_ROWS_CONF, "0")
+    try:
+        assert cleaning.drop_overlapping_flights(rows).count() == cleaning.drop_overlapping_flights(rows, judged).count()
+    finally:
+        spark.conf.unset(BROADCAST_ROWS_CONF)
