@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from avionyx.llm import substrings
+from avionyx.llm import substrings, text
 
 
 def brute_score(points):
@@ -106,20 +106,58 @@ def test_repeated_rows_and_seed_numbers(spark):
     t = " ".join(words(rng, 100))
     docs = spark.createDataFrame([(1, t), (1, t), (2, t), (3, "other " + t), (3, "a")], "doc_id long, text string")
     got = sorted((r["doc_id"], r["first_id"]) for r in substrings.repeated_passages(docs).collect())
-    assert got == [(2, 1)] or got == [(2, 1), (3, 1)]
+    assert got == [(2, 1), (3, 1)]
     cut = sorted((r["doc_id"], r["text"]) for r in substrings.cut_repeats(docs).collect())
-    assert cut.count((1, t)) == 2 and (3, "a") in cut and (2, t) not in cut
-    w = np.array([7] * 50, np.uint64)
-    keys, at = substrings.seeds(w)
-    assert len(set(keys.tolist())) == len(keys) == len(at)
+    assert cut == [(1, t), (1, t), (3, "a"), (3, "other ")]
+    # each copy of a seed has its plain key, the later ones a number besides
+    doc, keys, at, size = substrings.all_seeds([b"same " * 50, b"", b"one", b"same " * substrings.SHORT], 45)
+    short = (doc == 0) & (size == substrings.SHORT)
+    assert len(set(keys[short].tolist())) == len(set(at[short].tolist())) == short.sum() - len(set(at[short].tolist())) + 1
+    assert set(doc.tolist()) == {0, 3} and keys[doc == 3][0] in keys[short]
+
+
+def test_flat_words_tell_words_apart_and_only_those(monkeypatch):
+    raws = ["The cat\x0bthe CAT\u0085é É a\x1cb", "", " \t\n", "a b aa ab ba", "the"]
+    words, counts = substrings.flat_words([r.encode() for r in raws])
+    plain = [w.translate(text.LOWER_AZ) for r in raws for w in text.WORD.findall(r)]
+    assert counts.tolist() == [len(text.WORD.findall(r)) for r in raws] and len(words) == len(plain)
+    for i, a in enumerate(plain):
+        for j, b in enumerate(plain):
+            assert (a == b) == (words[i] == words[j])
+    rng = random.Random(5)
+    many = sorted({"".join(rng.choices("abc", k=rng.randrange(1, 12))) for _ in range(50_000)})
+    whole = substrings.flat_words([" ".join(many).encode()])[0]
+    assert len(set(whole.tolist())) == len(many)
+    monkeypatch.setattr(substrings, "HASHED_BYTES", 7)
+    assert (substrings.flat_words([" ".join(many).encode()])[0] == whole).all()
+
+
+def test_winnowed_places_equal_a_scan():
+    rng = random.Random(6)
+    for window in (3, 10):
+        sizes = np.array([rng.randrange(0, 25) for _ in range(40)])
+        code = np.array([rng.randrange(20) for _ in range(sizes.sum())], np.uint64)
+        starts = np.cumsum(sizes) - sizes
+        # the last window - 1 hashes of a document's words may belong to the next one: counts leave them out
+        want = set()
+        for s, c in zip(starts.tolist(), sizes.tolist(), strict=True):
+            for i in range(s, s + max(c - window, 0) + 1):
+                run = code[i : min(i + window, s + c)].tolist()
+                if run:
+                    want.add(i + max(j for j, v in enumerate(run) if v == min(run)))
+        assert set(substrings._winnow(code, starts, sizes, window).tolist()) == want
+
+
+# Near the bound of 0.8 random edits can leave a passage under it.
+LEAST_RECALL = {0.9: 0.95, 0.85: 0.9, 0.82: 0.8}
 
 
 def test_recall_of_fuzzy_passages(spark):
-    """Passages of 50 to 80 words with one word in ten to one in six replaced."""
+    """Passages of 50 to 80 words with one word in ten to one in five replaced."""
     rng = random.Random(12)
     rows, want = [], {}
-    for i in range(400):
-        length, identity, even = rng.choice([50, 60, 80]), (0.9, 0.85)[i % 2], i % 4 < 2
+    for i in range(600):
+        length, identity, even = rng.choice([50, 60, 80]), (0.9, 0.85, 0.82)[i % 3], i % 2 < 1
         passage = words(rng, length)
         copy, edits = list(passage), int(length * (1 - identity) + 1e-9)
         for p in (range(3, length, -(-length // edits)) if even else rng.sample(range(length), edits)):
@@ -133,7 +171,7 @@ def test_recall_of_fuzzy_passages(spark):
         asked = [d for d, k in want.items() if k == kind]
         share = sum(d in got for d in asked) / len(asked)
         print("recall", kind, share)
-        assert share >= 0.9, (kind, share)
+        assert share >= LEAST_RECALL[kind[0]], (kind, share)
 
 
 def test_lines_that_stand_alone_earlier(spark):
@@ -161,3 +199,76 @@ def test_every_copy_in_a_later_document_is_found(spark):
     assert got == [(60, 130), (190, 260), (320, 390)]
     left = {r["doc_id"]: r["text"].split() for r in substrings.cut_repeats(docs, size_col=None).collect()}
     assert len(left[9]) == 180 and not set(left[9]) & set(passage)
+
+
+def pairs_of(docs, **options):
+    return sorted({(r["doc_id"], r["first_id"]) for r in substrings.repeated_passages(docs, **options).collect()}, key=str)
+
+
+def test_texts_that_share_an_id_keep_all_links(spark):
+    """The first holder of a passage is one of two texts of its id."""
+    rng = random.Random(21)
+    passage = words(rng, 60)
+    with_it = lambda: " ".join(words(rng, 40) + passage + words(rng, 40))
+    docs = spark.createDataFrame([(1, "a " + " ".join(words(rng, 80))), (1, with_it()), (2, with_it()), (3, with_it())], "doc_id long, text string")
+    assert pairs_of(docs) == [(2, 1), (3, 1)]
+    cut = substrings.cut_repeats(docs, size_col=None).collect()
+    assert len(cut) == 4 and sorted(len(set(passage) & set(r["text"].split())) for r in cut) == [0, 0, 0, 60]
+
+
+def test_ids_of_other_types(spark):
+    rng = random.Random(22)
+    passage = words(rng, 70)
+    rows = [(f"doc {i}", " ".join(words(rng, 30) + passage)) for i in range(3)] + [("alone", " ".join(words(rng, 90))), (None, " ".join(passage))]
+    got = pairs_of(spark.createDataFrame(rows, "name string, body string"), id_col="name", text_col="body")
+    assert len(got) == 2 and len({f for _, f in got}) == 1 and {x for p in got for x in p} == {"doc 0", "doc 1", "doc 2"}
+    small = spark.createDataFrame([(i, rows[i][1]) for i in range(3)], "doc_id int, text string")
+    assert pairs_of(small) == [(1, 0), (2, 0)]
+
+
+def test_packed_seeds_give_the_anchors_of_a_plain_join(monkeypatch):
+    rng = random.Random(23)
+    for hot in (16, 3):
+        monkeypatch.setattr(substrings, "HOT", hot)
+        seed = lambda: substrings.mix(np.array(rng.choices(range(1, 400), [1 / i for i in range(1, 400)], k=rng.randrange(1, 60)), np.uint64))
+        docs = []
+        for d in range(40):
+            key = seed()
+            docs.append((d // 2, d % 3, key, np.array(rng.sample(range(10**6), len(key))), np.where(key % np.uint64(2) == 0, 4, 36).astype(np.int64)))
+        seen = {}
+        for d, v, keys, pos, _ in docs:
+            for k, p in zip(keys.tolist(), pos.tolist(), strict=True):
+                seen.setdefault(k, []).append((d, v, p))
+        want = {(d, v, p, min(ps)) for ps in seen.values() for d, v, p in ps if (d, v) != min(ps)[:2]}
+        rows = []
+        for part in (sorted(docs[:15], key=lambda d: d[:2]), sorted(docs[15:], key=lambda d: d[:2])):
+            names = np.array([d[:2] for d in part], np.int64)
+            seeds = (np.repeat(np.arange(len(part)), [len(d[2]) for d in part]), *[np.concatenate([d[i] for d in part]) for i in (2, 3, 4)])
+            rows += substrings.pack(names, seeds, 5, 1).to_pylist()
+        groups = {}
+        for r in rows:
+            groups.setdefault((r["bucket"], r["salt"]), []).append(r)
+        got = set()
+        for part in groups.values():
+            found = substrings.link(part)
+            for r in [] if found is None else found.to_pylist():
+                for p, q, _ in np.frombuffer(r["at"], "<i4").reshape(-1, 3).tolist():
+                    got.add((r["doc_id"], r["version"], p, (r["first_id"], r["first_version"], q)))
+        # every occurrence outside the first document has an anchor to an earlier one: to the first, if no seed is hot
+        assert {x[:3] for x in got} == {x[:3] for x in want}
+        assert all(x[3][:2] < x[:2] for x in got) and (hot == 3 or len(got - want) < len(got) / 2)
+
+
+def test_hot_passages_in_many_slices(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "SLICE_CHARS", 4000)
+    monkeypatch.setattr(substrings, "HOT", 3)
+    monkeypatch.setattr(substrings, "SALT_SLICES", 2)
+    monkeypatch.setattr(substrings, "BUCKET_SEEDS", 500)
+    rng = random.Random(24)
+    passage = words(rng, 60)
+    rows = [(i, " ".join(words(rng, 20) + (passage if i % 3 else words(rng, 60)) + words(rng, 20))) for i in range(300)]
+    rows += [(1000, "only this " + " ".join(words(rng, 9000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {d for d, _ in pairs_of(docs)} == {i for i in range(2, 300) if i % 3}
+    left = substrings.cut_repeats(docs, size_col=None).collect()
+    assert sum(len(set(passage) & set(r["text"].split())) == 60 for r in left) == 1
