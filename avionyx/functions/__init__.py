@@ -11,9 +11,12 @@ from .numeric import (
     micros_between,
     minutes,
     nullif_zero,
+    round_ratio,
     round_scaled,
     safe_div,
+    scaled_decimal,
     trunc_div,
+    units_of,
 )
 
 __all__ = [
@@ -30,8 +33,11 @@ __all__ = [
     "micros_between",
     "minutes",
     "nullif_zero",
+    "round_ratio",
     "round_scaled",
     "safe_div",
+    "scaled_decimal",
     "trunc_div",
+    "units_of",
     "year_text",
 ]

@@ -8,6 +8,8 @@ value hash of the result is stable across runs and engines.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,10 +74,40 @@ def safe_div(num: ColumnOrName, den: ColumnOrName) -> Column:
 
 
 def trunc_div(num: ColumnOrName, den: ColumnOrName) -> Column:
-    """Integer division of two non-negative counts, truncated (the source
-    database's ``bigint / bigint``), as a double; null on a zero divisor.
+    """Integer division of two integers, truncated towards zero (the source
+    database's ``bigint / bigint``), as a long; null on a zero divisor."""
+    return F.call_function("div", _wide(num), _wide(nullif_zero(den)))
+
+
+def _wide(x: ColumnOrName) -> Column:
+    return _col(x).cast("decimal(38,0)")
+
+
+def round_ratio(num: ColumnOrName, den: ColumnOrName, digits: int) -> Column:
+    """ROUND(num / den, digits) of two integers in exact decimals, ties away
+    from zero, as ``decimal(20 + digits, digits)``; null on a zero divisor.
 
-    For operands below 2^53 the double quotient never rounds up across an
-    integer, so ``floor`` of it equals the integer quotient.
+    The quotient is never formed with a limited scale: ``2 * |num| * 10^digits
+    + |den|`` is divided as an integer by ``2 * |den|``, so a value on a tie
+    is seen as one.  Exact while ``|num| * 10^digits`` stays below 10^37 and
+    the scaled result below 2^63; both hold for any sum of microseconds.
     """
-    return F.floor(safe_div(num, den)).cast("double")
+    n, d = _wide(num), _wide(nullif_zero(den))
+    size = F.call_function(
+        "div",
+        (F.abs(n) * F.lit(2 * 10**digits) + F.abs(d)).cast("decimal(38,0)"),
+        (F.abs(d) * F.lit(2)).cast("decimal(38,0)"),
+    )
+    signed = F.when((n < 0) == (d < 0), size).otherwise(-size)
+    return scaled_decimal(signed, digits)
+
+
+def scaled_decimal(units: ColumnOrName, digits: int) -> Column:
+    """The integer ``units`` times 10^-digits as ``decimal(20 + digits, digits)``."""
+    place = F.lit(Decimal(1).scaleb(-digits))
+    return (_col(units).cast("decimal(19,0)") * place).cast(f"decimal({20 + digits},{digits})")
+
+
+def units_of(x: ColumnOrName, digits: int) -> Column:
+    """A decimal with ``digits`` places as an integer count of its last place."""
+    return (_col(x) * F.lit(10**digits)).cast("decimal(38,0)")

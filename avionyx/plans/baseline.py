@@ -8,9 +8,12 @@ together; an aircraft unknown to the lookup forms its own group (named by
 its registration); years are text; the role is the recorded reporter class.
 
 The source database divides integers with truncation in two places
-(TakeOff and the ratio inside TDR); ``trunc_div`` reproduces that.  Its exact
-decimals are computed here as doubles from exact integer sums, rounded with
-the same scaled rounding as the warehouse reports.
+(TakeOff and the ratio inside TDR); ``trunc_div`` reproduces that.  Its
+decimals stay decimals: every metric is a quotient of two exact integer sums,
+rounded once, ties away from zero (``round_ratio``), with the places that the
+report states (2 for hours, days, DU, DC, ADD; 4 for DYR and CNR; 3 and 2 for
+the rates).  Nothing passes through a double, so a value on a rounding tie is
+the one that exact numerics give.
 """
 
 from __future__ import annotations
@@ -18,15 +21,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import days, hours, minutes, safe_div, trunc_div, year_text
-from ..functions import round_scaled as R
+from ..functions import (
+    MICROS_PER_DAY,
+    MICROS_PER_HOUR,
+    MICROS_PER_MINUTE,
+    round_ratio,
+    scaled_decimal,
+    trunc_div,
+    units_of,
+    year_text,
+)
 from ..operators.classify import classify_manufacturer
 from ..operators.measures import baseline_flight_measures, baseline_maintenance_measures
 from ..sources import FleetSources
 
 REG = "aircraftregistration"
 KEYS = ["manufacturer", "year"]
-DAYS_PER_YEAR = 365.0
+DAYS_PER_YEAR = 365
 
 EVENT_COLUMNS = (
     "flight_us",
@@ -83,27 +94,45 @@ def utilization_baseline(src: FleetSources) -> DataFrame:
         .groupBy(*KEYS)
         .agg(F.count(REG).alias("n"), *[F.sum(c).alias(c) for c in EVENT_COLUMNS])
     )
-    fh = R(safe_div(hours("flight_us"), "n"), 2)
-    takeoff = R(trunc_div("cycles", "n"), 2)
-    ados = R(safe_div(days(F.col("scheduled_us") + F.col("unscheduled_us")), "n"), 2)
-    in_service = F.lit(DAYS_PER_YEAR) - ados
+    per_aircraft_days = _wide("n") * F.lit(MICROS_PER_DAY)
+    fh = round_ratio("flight_us", _wide("n") * F.lit(MICROS_PER_HOUR), 2)
+    takeoff = trunc_div("cycles", "n")
+    ados = round_ratio(_wide("scheduled_us") + _wide("unscheduled_us"), per_aircraft_days, 2)
+    # in hundredths, the places of FH and of the days
+    in_service = F.lit(100 * DAYS_PER_YEAR) - units_of(ados, 2)
     return g.select(
         *KEYS,
         fh.alias("FH"),
-        takeoff.alias("TakeOff"),
-        R(safe_div(days("scheduled_us"), "n"), 2).alias("ADOSS"),
-        R(safe_div(days("unscheduled_us"), "n"), 2).alias("ADOSU"),
+        scaled_decimal(takeoff * 100, 2).alias("TakeOff"),
+        round_ratio("scheduled_us", per_aircraft_days, 2).alias("ADOSS"),
+        round_ratio("unscheduled_us", per_aircraft_days, 2).alias("ADOSU"),
         ados.alias("ADOS"),
-        in_service.alias("ADIS"),
-        R(safe_div(fh, in_service * 24), 2).alias("DU"),
-        R(safe_div(takeoff, in_service), 2).alias("DC"),
-        (100 * R(safe_div("delays", "cycles"), 4)).alias("DYR"),
-        (100 * R(safe_div("cancellations", "cycles"), 4)).alias("CNR"),
-        (F.lit(100.0) - trunc_div(100 * (F.col("delays") + F.col("cancellations")), "cycles")).alias("TDR"),
-        (100 * R(safe_div(minutes("delay_us"), "delays"), 2)).alias("ADD"),
+        scaled_decimal(in_service, 2).alias("ADIS"),
+        round_ratio(units_of(fh, 2), in_service * 24, 2).alias("DU"),
+        round_ratio(takeoff * 100, in_service, 2).alias("DC"),
+        _times(round_ratio("delays", "cycles", 4), 100, 4).alias("DYR"),
+        _times(round_ratio("cancellations", "cycles", 4), 100, 4).alias("CNR"),
+        scaled_decimal((100 - trunc_div(100 * (F.col("delays") + F.col("cancellations")), "cycles")) * 100, 2).alias("TDR"),
+        _times(round_ratio("delay_us", _wide("delays") * F.lit(MICROS_PER_MINUTE), 2), 100, 2).alias("ADD"),
     ).orderBy(*KEYS)
 
 
+def _wide(c: str):
+    return F.col(c).cast("decimal(28,0)")
+
+
+def _times(x, factor: int, digits: int):
+    """A rounded ratio as percent, per thousand and the like, with its places kept."""
+    return scaled_decimal(units_of(x, digits) * factor, digits)
+
+
+def as_doubles(report: DataFrame) -> DataFrame:
+    """A report with its decimals as the nearest doubles, for comparison with the warehouse reports."""
+    return report.select(
+        *[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in report.dtypes]
+    )
+
+
 def flight_utilization_baseline(src: FleetSources) -> DataFrame:
     """A10: per (manufacturer, year) flown microseconds and cycles of the flights."""
     sums = [F.sum("flight_us").alias("flight_us"), F.sum("cycles").alias("cycles")]
@@ -135,8 +164,8 @@ def _rates(src: FleetSources, by_role: bool) -> DataFrame:
         rep.join(util, KEYS)
         .select(
             *keys,
-            (1000 * R(safe_div("counter", hours("flight_us")), 3)).alias("RRh"),
-            (100 * R(safe_div("counter", "cycles"), 2)).alias("RRc"),
+            _times(round_ratio(_wide("counter") * F.lit(MICROS_PER_HOUR), "flight_us", 3), 1000, 3).alias("RRh"),
+            _times(round_ratio("counter", "cycles", 2), 100, 2).alias("RRc"),
         )
         .orderBy(*keys)
     )

@@ -64,17 +64,17 @@ def reporting_per_role(spark, sf_dir):
 
 @query()
 def utilization_baseline(spark, sf_dir):
-    return baseline.utilization_baseline(_src(spark, sf_dir))
+    return baseline.as_doubles(baseline.utilization_baseline(_src(spark, sf_dir)))
 
 
 @query()
 def reporting_baseline(spark, sf_dir):
-    return baseline.reporting_baseline(_src(spark, sf_dir))
+    return baseline.as_doubles(baseline.reporting_baseline(_src(spark, sf_dir)))
 
 
 @query()
 def reporting_per_role_baseline(spark, sf_dir):
-    return baseline.reporting_per_role_baseline(_src(spark, sf_dir))
+    return baseline.as_doubles(baseline.reporting_per_role_baseline(_src(spark, sf_dir)))
 
 
 # --- sources (S1-S5) ----------------------------------------------------------------

@@ -39,4 +39,5 @@ def reconcile_report(name: str, wh, src) -> DataFrame:
     """The named report from a warehouse beside the same from the sources."""
     keys = ["manufacturer", "year"] + (["role"] if name == "reporting_per_role" else [])
     metrics = UTILIZATION_METRICS if name == "utilization" else REPORTING_METRICS
-    return reconcile(getattr(kpis, name)(wh), getattr(baseline, f"{name}_baseline")(src), keys, metrics)
+    sources = baseline.as_doubles(getattr(baseline, f"{name}_baseline")(src))
+    return reconcile(getattr(kpis, name)(wh), sources, keys, metrics)

@@ -132,3 +132,66 @@ def test_reports_are_ordered(spark):
         got = [tuple("" if v is None else str(v) for v in r[:keys]) for r in df.collect()]
         assert got == sorted(got) and len(set(got)) == len(got)
 
+
+
+def test_round_ratio_is_exact_on_ties(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+    from fractions import Fraction
+
+    from avionyx.functions import round_ratio, trunc_div
+
+    rows = [(1005, 1000), (-1005, 1000), (1005, -1000), (2675, 1000), (1, 3), (0, 5), (7, 0), (None, 2), (9, None)]
+    rows += [(9_000_000_000_000_000_005, 1000), (10**16 + 1, 2 * 10**14), (10**16 - 1, 2 * 10**14)]
+    out = spark.createDataFrame(rows, "a long, b long").select("a", "b", round_ratio("a", "b", 2).alias("r"), trunc_div("a", "b").alias("t"))
+    for a, b, r, t in out.collect():
+        if a is None or not b:
+            assert r is None and t is None
+            continue
+        x = Fraction(a, b)
+        units = int(abs(x) * 100 + Fraction(1, 2)) * (1 if x > 0 else -1)
+        assert r == Decimal(units).scaleb(-2) and t == int(x)
+    assert Decimal("1.005").quantize(Decimal("0.01"), ROUND_HALF_UP) == out.first().r
+
+
+def test_source_reports_on_rounding_ties_equal_exact_sql(spark):
+    """Values that lie on a tie (1.005 h, 2.675 days, 0.125 reports a cycle): doubles would round them down."""
+    from decimal import Decimal
+
+    import duckdb
+    import oracle_sql as o
+    from conftest import flights_df, lookup_df, maintenance_df, reports_df
+
+    from avionyx.plans import baseline
+    from avionyx.sources import FleetSources
+
+    flights = [(1, "A", "2020-01-01 08:00:00", "2020-01-01 09:00:00", "2020-01-01 08:00:00", "2020-01-01 09:00:18", False, None)]
+    flights += [(i, "B", f"2020-01-0{i} 08:00:00", f"2020-01-0{i} 09:00:00", f"2020-01-0{i} 08:00:00", f"2020-01-0{i} 08:30:00", False, None) for i in range(2, 10)]
+    flights += [(20, "C", "2020-01-01 08:00:00", "2020-01-01 09:00:00", "2020-01-01 08:00:00", "2020-01-01 07:59:42", False, None)]
+    flights += [(30, "D", "2020-01-01 08:00:00", "2020-01-01 09:00:00", None, None, True, None)]
+    maintenance = [("A", "2020-02-01 00:00:00", "2020-02-03 16:12:00", True), ("C", "2020-02-01 00:00:00", "2020-01-31 23:52:48", False)]
+    reports = [(i, r, "2020-03-01 00:00:00", "1", "PIREP") for i, r in enumerate("ABBCD")]
+    src = FleetSources(
+        flights=flights_df(spark, flights),
+        maintenance=maintenance_df(spark, maintenance),
+        reports=reports_df(spark, reports),
+        aircraft=lookup_df(spark, [("Z", "1", "m", "Airbus")]),
+        personnel=spark.createDataFrame([("1", "CGN")], "reporteurid string, airport string"),
+    )
+    util = {r.manufacturer: r for r in baseline.utilization_baseline(src).collect()}
+    assert util["A"].FH == Decimal("1.01") and util["C"].FH == Decimal("-0.01")
+    assert util["A"].ADOSS == Decimal("2.68") and util["C"].ADOSU == Decimal("-0.01")  # 2.675 and -0.005 days
+    rates = {r.manufacturer: r for r in baseline.reporting_baseline(src).collect()}
+    assert rates["B"].RRc == Decimal("25.00") and rates["D"].RRc is None and rates["D"].RRh is None
+
+    con = duckdb.connect()
+    for name in ("flights", "maintenance", "reports"):
+        con.register(f"{name}_frame", getattr(src, name).toArrow())
+        con.execute(f"CREATE TABLE {name} AS SELECT * FROM {name}_frame")
+    con.execute("CREATE TABLE aircraft_lookup AS SELECT 'Z' AS aircraft_reg_code, 'Airbus' AS aircraft_manufacturer")
+    shared = [o.CLASS_OF, o.TIMED_FLIGHTS]
+    for df, blocks, body in (
+        (baseline.utilization_baseline(src), [o.BASELINE_EVENTS], o.baseline_utilization_select()),
+        (baseline.reporting_baseline(src), [o.BASELINE_UTIL, o.baseline_reports(False)], o.baseline_rates_select("r.manufacturer, r.year")),
+    ):
+        want = con.execute(o.with_(*shared, *blocks, body=body)).fetchall()
+        assert sorted(map(tuple, baseline.as_doubles(df).collect())) == sorted(want)
