@@ -2,6 +2,8 @@ import collections
 import random
 import zlib
 
+from pyspark.sql import functions as F
+
 from avionyx.llm import sharding
 from avionyx.llm.queries import op8_sharding
 
@@ -16,11 +18,23 @@ def brute(units, shards):
     return out
 
 
-def test_heap_schedule_is_the_greedy_one():
+def test_classes_are_dealt_as_the_greedy_rule_deals_groups():
     rng = random.Random(0)
-    for _ in range(50):
-        units = [(i, rng.randrange(1, 50)) for i in range(rng.randrange(0, 60))]
-        assert sharding.longest_first(units, 7) == brute(units, 7)
+    for _ in range(100):
+        sizes = [rng.choice([1, 7, rng.randrange(1, 50), 4000]) for _ in range(rng.randrange(0, 90))]
+        classes = collections.Counter(sizes)
+        want = brute(list(enumerate(sizes)), 7)
+        dealt = sharding.longest_first([(size, n, n * size) for size, n in classes.items()], 7)
+        for size, taken in dealt.items():
+            assert taken == [sum(s == shard and sizes[i] == size for i, s in want.items()) for shard in range(7)]
+
+
+def test_size_classes(spark):
+    sizes = [1, 2, 2047, 2048, 2049, 2050, 5001, 10**6 + 1, 2**62 + 5]
+    out = spark.createDataFrame([(s,) for s in sizes], "s long").select("s", sharding.size_class(F.col("s")).alias("c")).collect()
+    for s, c in out:
+        drop = max(0, s.bit_length() - sharding.SIGNIFICANT)
+        assert c == (s >> drop) << drop
 
 
 def check(rows, out, shards):
@@ -52,6 +66,20 @@ def test_edge_rows(spark):
     assert sharding.assign_shards(docs.limit(0), 4).count() == 0
 
 
+def test_one_row_many_times_and_a_hot_text(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 50)
+    monkeypatch.setattr(sharding, "LOT", 7)
+    rows = [(1, "the same row")] * 300 + [(i, "one text") for i in range(300)] + [(i, f"text {i}") for i in range(1000, 1300)]
+    check(rows, sharding.assign_shards(spark.createDataFrame(rows, "doc_id long, text string"), 5).collect(), 5)
+
+
+def test_many_small_groups_are_placed_by_size(spark):
+    """256,410 groups of sizes far apart: the shards end up within the smallest size of one another."""
+    docs = spark.range(256_410).selectExpr("id as doc_id", "concat(id, repeat('x', int(id * 7919 % 601)))as text")
+    loads = [r["b"] for r in sharding.assign_shards(docs, 16).groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert len(loads) == 16 and max(loads) - min(loads) <= 16
+
+
 def test_slots_over_many_parts(spark, monkeypatch):
     monkeypatch.setattr(sharding, "SLOT_ROWS", 20)
     rows = [(i, f"text {i % 90}") for i in range(400)]
