@@ -17,22 +17,32 @@
    (its last sentence, or last third if there is one sentence) is found there
    in order too.
 
-Defined results: null and empty texts match nothing; items with fewer than
-``LEAST_WORDS`` words are too short to be told from chance and are not looked
-for; repeated items and rows give repeated results only per distinct
-``(doc_id, item_id)``.
+5. Items of fewer than ``LEAST_WORDS`` words have too little to be told by their
+   words: they are looked up verbatim, as a run of whole words, with an
+   Aho-Corasick automaton over the texts.  At an end written in a script without
+   blanks the run may also be part of a longer one.
+
+Defined results: null and empty texts match nothing; an item without a word is
+not found.  An item longer than the largest window is asked for in pieces, and
+judged whole.  ``near_word`` counts words from the start of the document, however
+long.  Repeated items and rows give repeated results only per distinct
+``(doc_id, item_id)``; of hits with equal shares the one that holds more of the
+answer counts, then the first.  Ids and item ids may have any type.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from avionyx.llm.substrings import lcs
 from avionyx.llm.text import free_name, slices
@@ -55,8 +65,12 @@ RUN_WORDS = 1 << 14
 SVD_WORDS = 1 << 11
 PIECE_WORDS = 40 * PASSAGE  # a long document is taken in pieces of whole passages
 SEED = 7
+HIT = ("doc_id", "item_id", "near_word", "lcs_share", "answer_share")
 
 TOKEN = re.compile(r"\w+")
+# Scripts written without blanks: Thai and Lao, Myanmar, Khmer, kana, Han.
+BLANK_FREE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+SHORTEST_CUT = 3
 
 
 class _Codes(dict):
@@ -223,8 +237,9 @@ def answer_of(text: str, codes: np.ndarray) -> np.ndarray:
     return codes[-max(n, -(-len(codes) // 3), 4) :]
 
 
-def item_queries(items: list[tuple[int, str]]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-    """``(item_id, scale, codes, answer)``; an item longer than the largest scale asks in pieces."""
+def item_queries(items: list[tuple[object, str]]) -> list[tuple[object, int, np.ndarray, np.ndarray, np.ndarray, int]]:
+    """``(item_id, scale, piece, whole, answer, lead)``; an item longer than the largest scale asks in
+    pieces, each with the ``lead`` words of the item before it."""
     out = []
     for (item, text), codes in zip(items, word_codes([t for _, t in items]), strict=True):
         if len(codes) < LEAST_WORDS:
@@ -232,10 +247,56 @@ def item_queries(items: list[tuple[int, str]]) -> list[tuple[int, int, np.ndarra
         pieces = -(-len(codes) // SCALES[-1])
         for part in np.array_split(np.arange(len(codes)), pieces):
             scale = min(SCALES, key=lambda s: abs(np.log(s / len(part))))
-            out.append((item, scale, codes[part], answer_of(text, codes)))
+            out.append((item, scale, codes[part], codes, answer_of(text, codes), int(part[0])))
     return out
 
 
+def _plain(text: str) -> str:
+    """The lower-cased words between single blanks."""
+    return f" {' '.join(TOKEN.findall(text.lower()))} "
+
+
+def short_patterns(items: list[tuple[object, str]], shortest: int) -> dict[str, list]:
+    """The runs to look up for items of ``shortest`` to ``LEAST_WORDS`` - 1 words, and whose they are."""
+    out = defaultdict(list)
+    for item, text in items:
+        plain = _plain(text)
+        if max(shortest, 1) <= len(plain.split()) < LEAST_WORDS:
+            start = 1 if BLANK_FREE.match(plain[1]) else 0
+            end = len(plain) - 1 if BLANK_FREE.match(plain[-2]) else len(plain)
+            out[plain[start:end]].append(item)
+    return dict(out)
+
+
+def _verbatim(texts: DataFrame, patterns: dict[str, list], schema: str, types: list[pa.DataType]) -> DataFrame:
+    """Hits of the items that ``patterns`` names, in ``(doc_id, text)`` rows: the first place of each."""
+    sent = texts.sparkSession.sparkContext.broadcast(patterns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = ahocorasick.Automaton()
+        for pattern in sent.value:
+            automaton.add_word(pattern, pattern)
+        automaton.make_automaton()
+        for batch in batches:
+            out = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                plain = _plain(text.as_py() or "")
+                first: dict[str, int] = {}
+                for end, pattern in automaton.iter(plain):
+                    first.setdefault(pattern, end + 1 - len(pattern))
+                for pattern, at in first.items():
+                    word = plain.count(" ", 0, at + 1) - 1
+                    out += [(doc_id, item, word, 1.0, 1.0) for item in sent.value[pattern]]
+            yield _hit_batch(out, types)
+
+    return texts.mapInArrow(run, schema)
+
+
+def _hit_batch(rows: list[tuple], types: list[pa.DataType]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) or [[]] * len(HIT)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=list(HIT))
+
+
 def _damped(codes: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Weight of each word: less where the same word came shortly before."""
     order = np.argsort(codes, kind="stable")
@@ -291,18 +352,26 @@ def verdict(words: np.ndarray, asked: np.ndarray, answer: np.ndarray) -> tuple[f
     return lcs(asked.tolist(), held) / len(asked), lcs(answer.tolist(), held) / len(answer)
 
 
-def search(coded: DataFrame, items: DataFrame, idf: np.ndarray, vectors: np.ndarray, values: np.ndarray, cosine: float, verbatim: float, paraphrase: float) -> DataFrame:
-    """Hits of every item in every coded document."""
+def search(coded: DataFrame, texts: DataFrame, items: DataFrame, idf: np.ndarray, vectors: np.ndarray, values: np.ndarray, cosine: float, verbatim: float, paraphrase: float, shortest: int) -> DataFrame:
+    """Hits of every item in every document; ``coded`` holds the word codes of ``texts``."""
     spark = coded.sparkSession
     table = (idf[:, None] * vectors / np.maximum(values, 1e-9)).astype(np.float32)
     asked = items.where("item_id is not null and text is not null").select("item_id", "text").distinct()
     size = asked.agg(F.count(F.lit(1)), F.sum(F.length("text"))).first()
     n_blocks = max(1, -(-int(size[0]) // BLOCK_ITEMS), -(-int(size[1] or 0) // BLOCK_CHARS))
-    kind = coded.schema["doc_id"].dataType.simpleString()
-    hits = None
+    id_types = [coded.schema["doc_id"].dataType, items.schema["item_id"].dataType]
+    schema = f"doc_id {id_types[0].simpleString()}, item_id {id_types[1].simpleString()}, near_word long, lcs_share double, answer_share double"
+    types = [*map(to_arrow_type, id_types), pa.int64(), pa.float64(), pa.float64()]
+    hits = spark.createDataFrame([], schema)
     for b in range(n_blocks):
         block = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b)
-        queries = item_queries([(r["item_id"], r["text"]) for r in block.collect()])  # a block of bounded size
+        asking = [(r["item_id"], r["text"]) for r in block.collect()]  # a block of bounded size
+        patterns = short_patterns(asking, shortest)
+        if patterns:
+            hits = hits.unionByName(_verbatim(texts, patterns, schema, types))
+        queries = item_queries(asking)
+        if not queries:
+            continue
         groups = {}
         for scale in sorted({q[1] for q in queries}):
             own = [i for i, q in enumerate(queries) if q[1] == scale]
@@ -311,16 +380,21 @@ def search(coded: DataFrame, items: DataFrame, idf: np.ndarray, vectors: np.ndar
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             table, queries, groups = sent.value
-            sought = [q[2].tolist() for q in queries]
-            reach = 2 * SCALES[-1]
+            sought = [q[3].tolist() for q in queries]
+            longest = max(len(q) for q in sought)
+            # the widest stretch that is held against an item
+            reach = 2 * SCALES[-1] if longest <= SCALES[-1] else 2 * longest + SCALES[-1]
+            run_words = max(RUN_WORDS, 4 * reach)
 
-            def look(docs: list[tuple[object, np.ndarray]]) -> list[tuple]:
+            def look(docs: list[tuple[object, int, np.ndarray]]) -> list[tuple]:
                 best: dict[tuple[int, int], tuple] = {}
                 tried = set()
-                for d, start, scale, q in _candidates([c for _, c in docs], table, groups, cosine):
-                    words = docs[d][1]
-                    item, _, codes, answer = queries[q]
-                    lo, hi = max(0, start - len(codes) // 2), min(len(words), start + scale + len(codes) // 2)
+                for d, start, scale, q in _candidates([c for _, _, c in docs], table, groups, cosine):
+                    doc_id, at, words = docs[d]
+                    item, _, piece, codes, answer, lead = queries[q]
+                    rest = len(codes) - lead - len(piece)
+                    lo = max(0, start - lead - len(codes) // 2)
+                    hi = min(len(words), start + scale + rest + len(codes) // 2)
                     if hi - lo < LEAST_WORDS // 2 or (d, q, lo, hi) in tried:
                         continue
                     tried.add((d, q, lo, hi))
@@ -330,57 +404,59 @@ def search(coded: DataFrame, items: DataFrame, idf: np.ndarray, vectors: np.ndar
                         continue
                     share, told = verdict(words[lo:hi], codes, answer)
                     if share >= verbatim or (share >= paraphrase and told >= ANSWER):
+                        hit = (share, told, -(at + max(0, start - lead)))
                         key = (d, item)
-                        if key not in best or share > best[key][3]:
-                            best[key] = (docs[d][0], item, start, share, told)
-                return list(best.values())
+                        if key not in best or hit > best[key][1]:
+                            best[key] = (doc_id, hit)
+                return [(doc_id, item, -place, share, told) for (_, item), (doc_id, (share, told, place)) in best.items()]
 
             out: list[tuple] = []
-            docs: list[tuple[object, np.ndarray]] = []
+            docs: list[tuple[object, int, np.ndarray]] = []
             held = 0
             for batch in batches:
                 for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     words = np.frombuffer(value.as_buffer(), "<u2")
                     # a long document is seen in overlapping runs
-                    for at in range(0, max(len(words) - reach, 1), RUN_WORDS - reach):
-                        docs.append((doc_id, words[at : at + RUN_WORDS]))
-                        held += len(docs[-1][1])
-                        if held >= RUN_WORDS:
+                    for at in range(0, max(len(words) - reach, 1), run_words - reach):
+                        docs.append((doc_id, at, words[at : at + run_words]))
+                        held += len(docs[-1][2])
+                        if held >= run_words:
                             out += look(docs)
                             docs, held = [], 0
             if held:
                 out += look(docs)
-            cols = list(zip(*out, strict=True)) or [[]] * 5
-            schema = [batch_type, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, schema, strict=True)],
-                names=["doc_id", "item_id", "near_word", "lcs_share", "answer_share"],
-            )
-
-        batch_type = pa.int64() if kind == "bigint" else pa.string() if kind == "string" else pa.int32()
-        found = coded.mapInArrow(run, f"doc_id {kind}, item_id long, near_word long, lcs_share double, answer_share double")
-        hits = found if hits is None else hits.unionByName(found)
-    return hits.groupBy("doc_id", "item_id").agg(
-        F.max("lcs_share").alias("lcs_share"),
-        F.max_by("answer_share", "lcs_share").alias("answer_share"),
-        F.min_by("near_word", F.struct(-F.col("lcs_share"), "near_word")).alias("near_word"),
+            yield _hit_batch(out, types)
+
+        hits = hits.unionByName(coded.mapInArrow(run, schema))
+    share, told, place = F.col("lcs_share"), F.col("answer_share"), F.col("near_word")
+    best = F.max(F.struct(share, told, (-place).alias("place"))).alias("best")
+    return (
+        hits.groupBy("doc_id", "item_id")
+        .agg(best)
+        .select("doc_id", "item_id", "best.lcs_share", "best.answer_share", (-F.col("best.place")).alias("near_word"))
     )
 
 
-def contaminated(docs: DataFrame, items: DataFrame, cosine: float = COSINE, verbatim: float = VERBATIM, paraphrase: float = PARAPHRASE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, item_id, lcs_share, answer_share, near_word``: the documents that hold a benchmark item."""
+def contaminated(docs: DataFrame, items: DataFrame, cosine: float = COSINE, verbatim: float = VERBATIM, paraphrase: float = PARAPHRASE, shortest: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, item_id, lcs_share, answer_share, near_word``: the documents that hold a benchmark item
+    of ``shortest`` words or more."""
     kind = docs.schema[id_col].dataType.simpleString()
-    coded = materialize(_coded(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), kind), "codes")
+    texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    coded = materialize(_coded(texts, kind), "codes")
     seen, passages = passage_frequencies(coded)
     idf = np.log((passages + 1) / (seen + 1.0)) * (seen > 0)
     if not passages:
-        return coded.select("doc_id", F.lit(0).cast("long").alias("item_id"), *[F.lit(0.0).alias(n) for n in ("lcs_share", "answer_share")], F.lit(0).cast("long").alias("near_word")).where("false")
+        item = F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id")
+        return coded.select("doc_id", item, *[F.lit(0.0).alias(n) for n in ("lcs_share", "answer_share")], F.lit(0).cast("long").alias("near_word")).where("false")
     vectors, values = leading_vectors(coded, idf)
-    return search(coded, items, idf, vectors, values, cosine, verbatim, paraphrase)
+    return search(coded, texts, items, idf, vectors, values, cosine, verbatim, paraphrase, shortest)
+
 
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", shortest: int = SHORTEST_CUT, **options) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item of ``shortest`` words or more.
 
-def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item.
+    Items of one or two words are plain words and names that clean texts hold too;
+    ``shortest=1`` removes those texts as well.
 
     Rows are told by a hash of their text, so repeated ids with different
     texts are judged apart.
@@ -388,5 +464,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", **o
     key = free_name(docs, "text_key")
     keyed = docs.withColumn(key, F.xxhash64(F.col(f"`{text_col}`")))
     texts = keyed.select(F.col(key).alias("text_key"), F.col(f"`{text_col}`").alias("text"))
-    hits = materialize(contaminated(texts, items, id_col="text_key", **options).select(F.col("doc_id").alias(key)).distinct(), "hits")
+    hits = materialize(contaminated(texts, items, id_col="text_key", shortest=shortest, **options).select(F.col("doc_id").alias(key)).distinct(), "hits")
     return keyed.join(hits, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

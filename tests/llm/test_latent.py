@@ -58,7 +58,10 @@ def test_long_document_and_verdict(spark):
         words[at:at] = item
     d = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[20_000:140_000]))], "doc_id long, text string")
     b = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
-    assert [(r["doc_id"], r["item_id"], r["lcs_share"]) for r in latent.contaminated(d, b).collect()] == [(1, 7, 1.0)]
+    [hit] = latent.contaminated(d, b).collect()
+    assert (hit["doc_id"], hit["item_id"], hit["lcs_share"]) == (1, 7, 1.0)
+    # of equal hits the first counts, from the start of the document
+    assert abs(hit["near_word"] - (latent.RUN_WORDS - 10)) <= len(item)
     w, q = np.array([1, 2, 3, 4], "<u2"), np.array([1, 9, 3], "<u2")
     assert latent.verdict(w, q, q[-1:]) == (2 / 3, 1.0)
 
@@ -111,3 +114,57 @@ def test_recall_of_paraphrases(spark):
         share = sum(p in got for p in asked) / len(asked)
         print("recall", kept, share)
         assert share >= least, (kept, share)
+
+
+def test_place_in_a_long_document(spark):
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(5000)}" for _ in range(80_000)]
+    words[50_000:50_000] = item = [f"q{i}" for i in range(30)]
+    d = spark.createDataFrame([("a", " ".join(words))], "doc_id string, text string")
+    b = spark.createDataFrame([("i7", " ".join(item))], "item_id string, text string")
+    [hit] = latent.contaminated(d, b).collect()
+    assert (hit["doc_id"], hit["item_id"]) == ("a", "i7") and abs(hit["near_word"] - 50_000) <= 30
+
+
+def test_short_items_against_brute_force(spark):
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(12)]
+    docs = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(0, 60)))) for i in range(200)]
+    docs += [(500, "W1, w2;\nw3! "), (501, None), (502, "前文这是一个问题后文 end"), (503, "xw1 w2")]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 8)))) for i in range(60)]
+    items += [(100, "w1 w2 w3"), (101, "w1 w2 w3"), (102, "..."), (103, None), (104, "这是一个问题")]
+
+    def runs(text):
+        return latent.TOKEN.findall((text or "").lower())
+
+    want = {}
+    for d, text in docs:
+        words = runs(text)
+        for i, item in items:
+            asked = runs(item)
+            at = [p for p in range(len(words) - len(asked) + 1) if words[p : p + len(asked)] == asked] if asked else []
+            if at:
+                want[d, i] = at[0]
+    want[502, 104] = 0
+    d = spark.createDataFrame([(i, t) for i, t in docs], "doc_id int, text string")
+    b = spark.createDataFrame(items, "item_id int, text string")
+    got = {(r["doc_id"], r["item_id"]): r["near_word"] for r in latent.contaminated(d, b).collect()}
+    assert got == want
+    cut = {x for (x, i) in want if len(runs(dict(items)[i])) >= latent.SHORTEST_CUT}
+    left = {r["doc_id"] for r in latent.decontaminate(d, b).collect()}
+    assert left == {i for i, _ in docs} - cut and 502 in left
+
+
+def test_items_longer_than_the_widest_window_are_judged_whole(spark):
+    rng = random.Random(8)
+    item = [f"q{i}" for i in range(300)]
+    filler = [[f"w{rng.randrange(3000)}" for _ in range(700)] for _ in range(30)]
+    whole, piece, spread = list(filler[0]), list(filler[1]), list(filler[2])
+    whole[100:100] = item
+    piece[100:100] = item[64:128]
+    spread[100:100] = [w for i, w in enumerate(item) if i % 6]
+    docs = [(i, " ".join(w)) for i, w in enumerate([whole, piece, spread, *filler[3:]])]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: r["lcs_share"] for r in latent.contaminated(d, b).collect()}
+    assert got == {0: 1.0, 2: 250 / 300}
