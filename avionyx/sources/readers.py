@@ -62,14 +62,18 @@ def read_csv_lookup(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 def read_aircraft_lookup(spark: SparkSession, path: str) -> DataFrame:
     """Aircraft lookup (registration, serial, model, manufacturer).
 
-    ``lookup_line`` keeps the file order, which decides which of two rows with
-    the same registration wins in the Aircrafts dimension.  It follows the
-    line order of one file (Spark may pack several files in any order), so a
-    lookup with duplicated registrations should be a single file.
+    ``lookup_line`` is a sort key, not a count: (file path, start of the block
+    in the file, place in the task).  It keeps the line order of one file and
+    the path order of several, however Spark packs them into tasks, and so
+    decides which of two rows with the same registration wins in the Aircrafts
+    dimension.
     """
-    return read_csv_lookup(spark, path, schemas.AIRCRAFT_LOOKUP).withColumn(
-        "lookup_line", F.monotonically_increasing_id()
+    line = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
     )
+    return read_csv_lookup(spark, path, schemas.AIRCRAFT_LOOKUP).withColumn("lookup_line", line)
 
 
 def read_personnel(spark: SparkSession, path: str) -> DataFrame:

@@ -13,6 +13,34 @@ from tools.check_oracle import digest
 TABLES = ["lineitem", "orders", "events", "supplier", "customer"]
 
 
+def test_first_line_wins_over_several_files_at_any_parallelism(spark):
+    from avionyx.operators.dimensions import aircraft_members
+
+    d = tempfile.mkdtemp(prefix="avionyx-lookup-")
+    first_seen, header = {}, "aircraft_reg_code,manufacturer_serial_number,aircraft_model,aircraft_manufacturer\n"
+    # a long and a short file before a middling one: Spark packs the largest first
+    for name, lines in (("a", 300), ("b", 5), ("c", 80)):
+        with open(os.path.join(d, f"{name}.csv"), "w", encoding="utf-8") as fh:
+            fh.write(header)
+            for i in range(lines):
+                reg, serial = f"R{(i * 7) % 120}", f"{name}{i:04d}"
+                fh.write(f"{reg},{serial},737,Boeing\n")
+                first_seen.setdefault(reg, serial)
+    set_before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for most, opening in (("128m", "4m"), ("1000", "0"), ("300", "0")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+            spark.conf.set("spark.sql.files.openCostInBytes", opening)
+            lookup = read_aircraft_lookup(spark, d)
+            won = {r.Aircraft_Registration_Code: r.Manufacturer_Serial_Number for r in aircraft_members(lookup).collect()}
+            assert won == first_seen
+            ordered = [r.manufacturer_serial_number for r in lookup.orderBy("lookup_line").collect()]
+            assert ordered == sorted(ordered) and len(ordered) == 385
+    finally:
+        for k, v in set_before.items():
+            spark.conf.set(k, v)
+
+
 def test_csv_lookup_reader(spark):
     d = tempfile.mkdtemp(prefix="avionyx-csv-")
     p = os.path.join(d, "lookup.csv")
