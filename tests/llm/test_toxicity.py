@@ -1,4 +1,5 @@
 import random
+from itertools import product
 
 import numpy as np
 
@@ -8,44 +9,80 @@ from avionyx.llm.queries import op5_toxicity_grammar
 SF = "/root/testdata/sf0.1"
 
 
-def brute_events(symbols):
-    """The same patterns by looking back over the clause."""
-    t = toxicity
-    out = []
-    for i, s in enumerate(symbols):
-        near = lambda kind, reach: kind in symbols[max(0, i - reach) : i]
-        how = 2 if t.REPORT in symbols[:i] else 1 if near(t.NEGATION, 4) else 0
-        if s == t.INSULT:
-            out.append((3 * near(t.TARGET, 5) + how, i))
-        elif (s == t.TARGET and near(t.THREAT, 4)) or (s == t.THREAT and near(t.TARGET, 5)):
-            out.append((6 + how, i))
-    return out
+def rewritings(machine, classes):
+    """Every path of one machine over the classes: outputs and weight, by plain enumeration."""
+    paths = [(0, (), 0.0)]
+    for symbol in classes:
+        paths = [(to, (*outs, o), w + v) for at, outs, w in paths for to, o, v in machine.arcs[at].get(symbol, ())]
+    return [(outs, w) for at, outs, w in paths if at in machine.finals]
 
 
-def test_composed_machine_matches_looking_back():
+def brute_best(clause):
+    """The cascade run one machine after the other over every choice of classes."""
+    t, best = toxicity, 0.0
+    for chosen in product(*clause):
+        weight = sum(w for _, w in chosen)
+        for negated, w1 in rewritings(t.scope(t.NEGATION, 4, t.NEGATED), [c for c, _ in chosen]):
+            for reported, w2 in rewritings(t.scope(t.REPORT, None, t.REPORTED), negated):
+                for _, w3 in rewritings(t.patterns(), reported):
+                    best = max(best, weight + w1 + w2 + w3)
+    return best
+
+
+def test_composed_machine_matches_the_cascade():
     rng = random.Random(0)
-    for _ in range(3000):
-        clause = [rng.choice(range(toxicity.BREAK)) for _ in range(rng.randrange(14))]
-        assert toxicity.clause_events(clause) == brute_events(clause)
-    reached, product = toxicity.machine_size()
-    assert reached <= product
-    assert toxicity.all_events() == set(range(len(toxicity.EVENTS)))
+    for _ in range(400):
+        symbols = [rng.choice(toxicity.SYMBOLS) for _ in range(rng.randrange(1, 9))]
+        clause = [[(toxicity.OTHER, 0.0), (s, rng.uniform(1, 8))] if s in toxicity.MARKED else [(s, 0.0)] for s in symbols]
+        weight, events = toxicity.GRAMMAR.best(clause)
+        assert abs(weight - brute_best(clause)) < 1e-9
+        assert len(events) <= sum(s in toxicity.MARKED for s in symbols)
+
 
+def weight_of(text, lexicon):
+    return sum(w for _, _, w, _ in toxicity.matched(text, lexicon))
 
-def test_clauses_bound_negation_and_report():
+
+def test_patterns_and_the_order_of_words():
     lexicon = toxicity.Lexicon({"zork": 2.0})
 
     def events(text):
-        x = toxicity.features(text, lexicon)[: len(toxicity.EVENTS)]
-        return {toxicity.EVENTS[i] for i in np.flatnonzero(x)}
-
-    assert events("you are an idiot") == {"insult_target"}
-    assert events("not an idiot") == {"insult_negated"}
-    assert events("not here, an idiot") == {"insult"}
-    assert events("he said: idiot. John wrote idiot") == {"insult", "insult_reported"}
-    assert events("I will kill you") == {"threat"}
-    assert events("zorkling") == {"insult"}
-    assert events("kill time") == set() and events(None) == set()
+        return [e for *_, found in toxicity.matched(text, lexicon) for e in found]
+
+    assert events("you are an idiot") == ["insult_target"]
+    assert events("what a clown") == ["insult_frame"]
+    assert events("idiot! moron scum walks by") == ["insult_clause", "insult_run"]  # one event for each insult after the first
+    assert events("I will kill you") == ["threat"]
+    assert events("so we kill time") == [] and events("green trash day came") == [] and events(None) == []
+    assert events("the zorkling") == ["insult_frame"]
+    assert weight_of("you great idiot", lexicon) > weight_of("you poor old great tired idiot", lexicon)
+    # the same words in another order
+    assert weight_of("well people like trash cans near houses", lexicon) != weight_of("trash near well houses like cans people", lexicon)
+    assert weight_of("friends kill time while dogs often sleep near you", lexicon) == 0 < weight_of("friends kill you while dogs sleep", lexicon)
+
+
+def test_negation_and_report_lower_the_score():
+    model = toxicity.Model(toxicity.Lexicon({}), np.array([2.0, 0.5]), -3.0)
+    plain, negated, reported = (model.score(t) for t in ("you are an idiot", "you are not an idiot", "he wrote: you are an idiot"))
+    assert plain >= 0.5 > max(negated, reported)
+    assert model.score("I will kill you") >= 0.5 > model.score("I will never kill you")
+    # the clause bounds both
+    assert model.score("not here. you are an idiot") == plain
+
+
+def test_coefficients_are_not_negative():
+    rng = np.random.default_rng(0)
+    x = rng.random((400, 2))
+    y = (x[:, 0] - x[:, 1] + rng.normal(0, 0.2, 400) > 0).astype(float)
+    weights, _ = toxicity.rising_logistic(x, y)
+    assert weights[0] > 0 and weights[1] == 0
+
+
+def test_matched_clauses_carry_their_spans(spark):
+    docs = spark.createDataFrame([(1, "Fine. You are an idiot, he said.", 0.5), (2, None, 1.0)], "doc_id int, text string, weight double")
+    model = toxicity.Model(toxicity.Lexicon({}), np.array([2.0, 0.5]), -3.0)
+    rows = toxicity.matched_clauses(docs, model).collect()
+    assert [(r["doc_id"], r["start"], r["end"], r["events"], r["clause"]) for r in rows] == [(1, 6, 22, ["insult_target"], "You are an idiot")]
 
 
 def test_held_out_documents(spark):
