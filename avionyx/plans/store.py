@@ -131,6 +131,18 @@ def publish(spark: SparkSession, root: str, before: Published | None, folders: d
     return Published(root, version, folders, version)
 
 
+def forget(spark: SparkSession, root: str, folders: list[str], before_version: int) -> None:
+    """Delete folders that no current version lists, and the manifests under ``before_version``."""
+    root = root.rstrip("/")
+    fs, manifests = _manifests(spark, root)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for version in _numbers(fs, manifests):
+        if version < before_version:
+            fs.delete(path(manifests, f"{version}.json"), False)
+    for folder in folders:
+        fs.delete(path(f"{root}/{folder}"), True)
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     now = published(spark, root)
     if now is None:
