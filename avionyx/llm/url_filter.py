@@ -16,7 +16,8 @@ Word counts are never broadcast: the substrings of the distinct host labels are
 joined with the counted words, and each label is cut on its own row.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
-and is allowed; repeated rows are judged alike; a null html adds no words.
+and is allowed; a host and path without a letter or digit have the prior odds; repeated
+rows are judged alike; a null html adds no words.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ TOTAL = 10**8
 LEAST_COUNT, LEAST_SHARE = 5, 1e-7
 PRIOR = 1.0
 
-WORD = re.compile(r"[a-z0-9]+")
+WORD = re.compile(r"[^\W_]+")
 
 
 def host_of(url: Column) -> Column:
@@ -170,14 +171,15 @@ def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url
     """
     url = F.col(f"`{url_col}`")
     verdicts = {rule_name(r): r[2] for r in rules}
-    words = page_words(pages.select(F.col(f"`{html_col}`").alias("html")))
+    # the words are summed and joined: the pages are read for them once
+    words = materialize(page_words(pages.select(F.col(f"`{html_col}`").alias("html"))), "page-words")
     rows = materialize(
         pages.select(F.col(f"`{id_col}`").alias("page_id"), F.coalesce(host_of(url), F.lit("")).alias("host"), F.coalesce(path_of(url), F.lit("")).alias("path")),
         "urls",
     )
     hosts = rows.where("host <> ''").select("host").distinct()
-    # the last label is the top-level domain, "www" and the like say nothing
-    parts = hosts.select("host", F.posexplode(F.filter(F.split("host", r"[^a-z0-9]+"), lambda x: x != "")).alias("at", "label"))
+    # labels of letters and digits of any script
+    parts = hosts.select("host", F.posexplode(F.filter(F.split("host", r"[^\p{L}\p{N}]+"), lambda x: x != "")).alias("at", "label"))
     cut_up = cut_labels(parts, words)
     hosts_cut = materialize(
         parts.join(cut_up, "label")
@@ -192,7 +194,8 @@ def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url
         .select("host", path_tokens.alias("path_tokens"))
         .groupBy("host", "path_tokens")
         .agg(F.count(F.lit(1)).alias("n"))
-        .join(hosts_cut, "host")
+        .join(hosts_cut, "host", "left")
+        .withColumn("host_words", F.coalesce("host_words", F.array().cast("array<string>")))
         .withColumn("bad", F.arrays_overlap("host_words", F.array(*[F.lit(w) for w in SURE])))
         .withColumn("tokens", F.concat(F.transform("host_words", lambda w: F.concat(F.lit("h:"), w)), F.transform("path_tokens", lambda w: F.concat(F.lit("p:"), w)))),
         "shapes",
@@ -215,10 +218,11 @@ def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url
     )
     prior = math.log((bad_urls + 1) / (all_urls - bad_urls + 1))
     scored = (
-        shapes.select("host", "path_tokens", F.explode("tokens").alias("token"))
-        .join(odds, "token")
+        shapes.select("host", "path_tokens", F.explode_outer("tokens").alias("token"))
+        .join(odds, "token", "left")
         .groupBy("host", "path_tokens")
-        .agg((F.sum(F.round("odds", 9).cast("decimal(28,9)")).cast("double") + F.lit(prior)).alias("block_odds"))
+        .agg(F.coalesce(F.sum(F.round("odds", 9).cast("decimal(28,9)")).cast("double"), F.lit(0.0)).alias("odds"))
+        .select("host", "path_tokens", (F.col("odds") + F.lit(prior)).alias("block_odds"))
     )
     judged = (
         rows.withColumn("path_tokens", path_tokens)

@@ -49,6 +49,16 @@ def test_hosts_paths_rules_and_edges(spark):
     assert url_filter.judge_urls(pages.limit(0), URL_RULES).count() == 0
 
 
+def test_every_host_is_scored(spark):
+    urls = [("http://спам-казино.example/x", "казино спам"), ("http://casino-казино.org/y", "casino"), ("http://...//", ""), ("http://пример.org/", "пример")]
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(urls)], "page_id long, url string, html string")
+    out = {r["page_id"]: r for r in url_filter.judge_urls(pages, []).collect()}
+    assert out[0]["host_words"] == ["спам", "казино", "example"]
+    assert out[1]["host_words"][:2] == ["casino", "казино"]
+    assert all(r["block_odds"] is not None for r in out.values())
+    assert out[2]["verdict"] == "allow"
+
+
 def test_viterbi_is_the_best_cut():
     rng = random.Random(0)
     counts = {"a": 9, "ab": 30, "abc": 5, "ca": 12, "bc": 7}
