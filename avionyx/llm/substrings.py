@@ -57,11 +57,13 @@ MIN_WORDS, IDENTITY = 45, 0.8
 # Characters whose seeds a task packs together, and seeds of a bucket.  Both bound memory; where a
 # corpus needs 100,000 buckets or more, larger slices keep the packed rows long.
 SLICE_CHARS = 8_000_000
-BUCKET_SEEDS = 2_000_000
+BUCKET_SEEDS = 1_000_000
 SEEDS_PER_CHAR = 0.19
 # Occurrences in one slice from which a seed is hot, and slices in a salted group.
 HOT = 16
 SALT_SLICES = 64
+# Rows of a batch that are Python objects at a time, and characters hashed together.
+PIECE_ROWS, PIECE_CHARS = 256, 2_000_000
 
 
 _BLANK = np.zeros(256, bool)
@@ -74,6 +76,13 @@ _BASE = 0x9E3779B97F4A7C15  # odd, so its powers have inverses among 64-bit numb
 HASHED_BYTES = 1 << 20
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of ``PIECE_ROWS`` rows, which share their memory."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, PIECE_ROWS):
+            yield batch.slice(lo, PIECE_ROWS)
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
@@ -194,6 +203,15 @@ def all_seeds(raws: list[bytes], min_words: int) -> tuple[np.ndarray, np.ndarray
     return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
 
 
+def slice_seeds(raws: list[bytes], min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The seeds of a slice, found in pieces of about ``PIECE_CHARS``: only the seeds are held together."""
+    found = []
+    for lo, hi in slices(raws, PIECE_CHARS):
+        doc, *rest = all_seeds(raws[lo:hi], min_words)
+        found.append((doc + lo, *rest))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
 def _planes(values: np.ndarray) -> bytes:
     """32-bit values byte by byte, so that the mostly empty high bytes compress."""
     return values.astype(np.int64).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
@@ -312,13 +330,13 @@ def _links(docs: DataFrame, min_words: int) -> DataFrame:
 
     def packed_slice(held: list[tuple]) -> pa.RecordBatch | None:
         held.sort(key=lambda d: d[:2])
-        seeds = all_seeds([d[2] for d in held], min_words)
+        seeds = slice_seeds([d[2] for d in held], min_words)
         return pack(np.array([d[:2] for d in held], np.int64), seeds, buckets, salts) if len(seeds[0]) else None
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
-        for batch in batches:
+        for batch in _pieces(batches):
             for d, v, raw in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 held.append((d, v, raw))
                 size += len(raw)
@@ -333,9 +351,11 @@ def _links(docs: DataFrame, min_words: int) -> DataFrame:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
-        for batch in batches:
-            for r in batch.to_pylist():
-                group = (r["bucket"], r["salt"])
+        for batch in _pieces(batches):
+            raws = {c: batch.column(c) for c in ("docs", "counts", "keys", "places")}
+            for i, (bucket, salt, size) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("bucket", "salt", "size")], strict=True)):
+                r = {"size": size, **{c: held[i].as_buffer() for c, held in raws.items()}}  # not copied
+                group = (bucket, salt)
                 if group != now and rows:
                     found = link(rows)
                     if found is not None:
@@ -533,7 +553,7 @@ def _chains(links: DataFrame, min_words: int, identity: float) -> DataFrame:
     grouped = links.groupBy("doc_id", "version").agg(F.collect_list(anchors).alias("a")).select("doc_id", "version", "a.first_id", "a.first_version", "a.strong", "a.at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             rows: list[tuple] = []
             for doc, version, firsts, versions, strongs, ats in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 pairs: dict[tuple[int, int], list[bytes]] = {}
@@ -568,7 +588,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
     """``doc_id, version, block, words``: word hashes (32 bits each) of the asked ``blocks`` of BLOCK words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             ids, versions, raws, asked = (c.to_pylist() for c in batch.columns)
             for lo, hi in slices(raws):
                 rows: list[tuple] = []
@@ -627,7 +647,7 @@ def _passages(docs: DataFrame, min_words: int, identity: float) -> DataFrame:
     both = chains.join(words, "chain").select("doc_id", "first_id", "x", "y", "version", "side", "block", "words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             out: list[tuple] = []
             for d, f, xs, ys, version, side, block, raw in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 cut = side.index(1)

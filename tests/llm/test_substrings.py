@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from avionyx.llm import substrings, text
 
@@ -272,3 +274,26 @@ def test_hot_passages_in_many_slices(spark, monkeypatch):
     assert {d for d, _ in pairs_of(docs)} == {i for i in range(2, 300) if i % 3}
     left = substrings.cut_repeats(docs, size_col=None).collect()
     assert sum(len(set(passage) & set(r["text"].split())) == 60 for r in left) == 1
+
+
+def test_slice_is_seeded_in_bounded_memory():
+    rng = np.random.default_rng(25)
+    raws = [" ".join(map(str, rng.integers(0, 5000, 400))).encode() for _ in range(4000)]
+
+    def of(find, part):
+        tracemalloc.start()
+        found = find(part, substrings.MIN_WORDS)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return sorted(zip(*[c.tolist() for c in found], strict=True)), peak
+
+    assert of(substrings.slice_seeds, raws[:2000])[0] == of(substrings.all_seeds, raws[:2000])[0]
+    seeds, peak = of(substrings.slice_seeds, raws)
+    assert peak < 32 * len(seeds) * 2 + 24 * substrings.PIECE_CHARS < of(substrings.all_seeds, raws)[1]
+
+
+def test_batches_are_cut_into_pieces():
+    whole = pa.RecordBatch.from_arrays([pa.array(range(1000))], names=["x"])
+    parts = list(substrings._pieces(iter([whole, whole.slice(0, 0)])))
+    assert max(p.num_rows for p in parts) == substrings.PIECE_ROWS
+    assert [x for p in parts for x in p.column(0).to_pylist()] == list(range(1000))
