@@ -37,6 +37,23 @@ def test_cluster_without_a_folder_uses_its_warehouse():
     assert session.checkpoint_dir(cluster) == "file:/mnt/shared/warehouse/_checkpoints" == session.checkpoint_dir(cluster)
 
 
+def _with_master(master, **conf):
+    out = _Cluster(**conf)
+    out.master = master
+    return out
+
+
+def test_executors_of_a_local_cluster_do_not_share_a_temporary_folder():
+    cluster = _with_master("local-cluster[3,2,3000]", spark__sql__warehouse__dir="file:/mnt/shared/warehouse")
+    assert session.checkpoint_dir(cluster) == "file:/mnt/shared/warehouse/_checkpoints"
+
+
+@pytest.mark.parametrize("master", ["local", "local[2]", "local[*]", "local[4,2]"])
+def test_one_process_uses_a_temporary_folder(master, tmp_path, monkeypatch):
+    monkeypatch.setattr(session.tempfile, "tempdir", str(tmp_path))
+    assert session.checkpoint_dir(_with_master(master)).startswith(str(tmp_path))
+
+
 RUN = """
 import sys
 from pyspark.sql import SparkSession
