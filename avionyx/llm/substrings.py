@@ -56,12 +56,12 @@ REACH = 32
 MIN_WORDS, IDENTITY = 45, 0.8
 # Characters whose seeds a task packs together, and seeds of a bucket.  Both bound memory; where a
 # corpus needs 100,000 buckets or more, larger slices keep the packed rows long.
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 4_000_000
 BUCKET_SEEDS = 1_000_000
 SEEDS_PER_CHAR = 0.19
 # Occurrences in one slice from which a seed is hot, and slices in a salted group.
 HOT = 16
-SALT_SLICES = 64
+SALT_SLICES = 128
 # Rows of a batch that are Python objects at a time, and characters hashed together.
 PIECE_ROWS, PIECE_CHARS = 256, 2_000_000
 

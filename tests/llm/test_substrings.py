@@ -292,6 +292,18 @@ def test_slice_is_seeded_in_bounded_memory():
     assert peak < 32 * len(seeds) * 2 + 24 * substrings.PIECE_CHARS < of(substrings.all_seeds, raws)[1]
 
 
+def test_full_slice_is_packed_in_bounded_memory():
+    rng = np.random.default_rng(26)
+    texts = (" ".join(map(str, rng.integers(10_000, 30_000, 300))).encode() for _ in range(substrings.SLICE_CHARS // 1799))
+    raws = list(texts)
+    names = np.array([(i, 0) for i in range(len(raws))], np.int64)
+    tracemalloc.start()
+    made = substrings.pack(names, substrings.slice_seeds(raws, substrings.MIN_WORDS), 97, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert made.num_rows and peak < 110e6
+
+
 def test_batches_are_cut_into_pieces():
     whole = pa.RecordBatch.from_arrays([pa.array(range(1000))], names=["x"])
     parts = list(substrings._pieces(iter([whole, whole.slice(0, 0)])))
