@@ -7,7 +7,7 @@
    in common meet in one partition (a routed key with very many rows is split
    by Spark at run time, the ``REBALANCE`` hint).
 3. Inside a task every distinct chunk is encoded and decoded once and kept in a
-   cache of bounded size.
+   cache of bounded size, which goes when the task ends: the worker does other work next.
 4. A border may cut a word.  The encoded form of a chunk therefore keeps the
    characters before its first and after its last blank as text; a join
    re-encodes the two loose ends together, growing over further chunks until
@@ -107,6 +107,10 @@ class _Cache(dict):
         self.held += cost or 1
         self[key] = value
 
+    def forget(self) -> None:
+        self.clear()
+        self.held, self.old = 0, {}
+
 
 class ChunkCodec:
     """Encoder and decoder over chunks, for one tokenizer file.
@@ -190,6 +194,11 @@ class ChunkCodec:
                     break
         return b"".join([v[0] for v in found]), " ".join([v[1] for v in found])
 
+    def forget(self) -> None:
+        """Empty the caches; the tokenizer stays."""
+        for cache in (self.parts, self.pieces, self.chunks):
+            cache.forget()
+
     def _library(self, piece: str) -> list[int]:
         return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
@@ -299,7 +308,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text
         return out
 
     name = free_name(docs, "encoded")
-    made = append_column(routed(docs, text_col), text_col, name, kind, make)
+    made = append_column(routed(docs, text_col), text_col, name, kind, make, lambda: codec(tokenizer_path).forget())
     return made.select(*[F.col(f"`{c}`") for c in docs.columns], f"{name}.ids", f"{name}.decoded")
 
 
@@ -329,5 +338,6 @@ def encode_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                     [batch.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
+        c.forget()
 
     return rows.mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, {_DIGEST}")

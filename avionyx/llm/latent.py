@@ -74,7 +74,7 @@ SHORTEST_CUT = 3
 
 
 class _Codes(dict):
-    """16-bit codes of words, kept for the words seen so far."""
+    """16-bit codes of words, kept for the words that a task has seen so far."""
 
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHE_WORDS:
@@ -96,6 +96,11 @@ def word_codes(texts: list[str | None]) -> list[np.ndarray]:
     return out
 
 
+def forget_words() -> None:
+    """Called at the end of a task: the worker does other work next."""
+    _CODES.clear()
+
+
 def _coded(docs: DataFrame, id_type: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,6 +110,7 @@ def _coded(docs: DataFrame, id_type: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(codes, pa.binary())], names=["doc_id", "codes"]
                 )
+        forget_words()
 
     return docs.mapInArrow(run, f"doc_id {id_type}, codes binary")
 

@@ -3,12 +3,13 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from avionyx.llm import bpe
+from avionyx.llm import bpe, latent
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -76,3 +77,28 @@ def test_query_columns(spark):
     assert bpe.encode_digests(docs.limit(0), PATH).count() == 0
     full = bpe.encode_documents(docs.select("doc_id", "text"), PATH)
     assert full.columns == ["doc_id", "text", "ids", "decoded"] and full.count() == len(rows)
+
+
+def test_workers_keep_no_cache(spark):
+    """A reused Python worker goes on to other operators without the texts of the last task."""
+    codec = bpe.ChunkCodec(PATH)
+    first = codec.encode("two words, don't\u2026 " * 500)
+    assert codec.parts and codec.pieces and codec.chunks
+    codec.forget()
+    assert not any(len(c) + len(c.old) + c.held for c in (codec.parts, codec.pieces, codec.chunks))
+    assert codec.encode("two words, don't\u2026 " * 500) == first
+
+    rng = random.Random(2)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(200))) for i in range(64)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+    def held(batches):
+        from avionyx.llm import bpe, latent
+
+        for batch in batches:
+            n = sum(len(c) + len(c.old) for k in bpe._CODECS.values() for c in (k.parts, k.pieces, k.chunks))
+            yield pa.RecordBatch.from_arrays([pa.array([n + len(latent._CODES)])], names=["n"])
+
+    for frame in (bpe.encode_digests(docs, PATH), bpe.encode_documents(docs, PATH), latent._coded(docs, "long")):
+        assert len(frame.collect()) == 64
+        assert {r["n"] for r in spark.range(0, 64, 1, 16).mapInArrow(held, "n long").collect()} == {0}
