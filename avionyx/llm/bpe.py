@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from avionyx.llm.text import append_column, free_name, slices
+from avionyx.llm.text import append_column, free_name, giving_back, slices
 
 WINDOW = 16
 MASK = np.uint32(0xFF)  # one border in 256 characters
@@ -323,6 +323,7 @@ def encode_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     """
     rows = routed(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")))
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(tokenizer_path)
         for batch in batches:

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from avionyx.llm.substrings import lcs
-from avionyx.llm.text import free_name, slices
+from avionyx.llm.text import free_name, giving_back, slices
 from avionyx.session import materialize
 
 FEATURES = 1 << 13
@@ -102,6 +102,7 @@ def forget_words() -> None:
 
 
 def _coded(docs: DataFrame, id_type: str) -> DataFrame:
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
@@ -153,6 +154,7 @@ def _entries(f: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 def passage_frequencies(coded: DataFrame) -> tuple[np.ndarray, int]:
     """In how many passages each feature occurs, and the number of passages."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(FEATURES + 1, np.int64)
         for f, p in _runs(batches):
@@ -182,6 +184,7 @@ def _gram_times(coded: DataFrame, idf: np.ndarray, start: np.ndarray) -> np.ndar
     spark = coded.sparkSession
     sent = spark.sparkContext.broadcast((start, idf))
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, idf = sent.value
         total = np.zeros((FEATURES, width), np.float32)
@@ -278,6 +281,7 @@ def _verbatim(texts: DataFrame, patterns: dict[str, list], schema: str, types: l
     """Hits of the items that ``patterns`` names, in ``(doc_id, text)`` rows: the first place of each."""
     sent = texts.sparkSession.sparkContext.broadcast(patterns)
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = ahocorasick.Automaton()
         for pattern in sent.value:
@@ -384,6 +388,7 @@ def search(coded: DataFrame, texts: DataFrame, items: DataFrame, idf: np.ndarray
             groups[scale] = (own, _project([queries[i][2] for i in own], table))
         sent = spark.sparkContext.broadcast((table, queries, groups))
 
+        @giving_back
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             table, queries, groups = sent.value
             sought = [q[3].tolist() for q in queries]

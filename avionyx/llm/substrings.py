@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from avionyx.llm.near_dups import mix
-from avionyx.llm.text import WORD, free_name, slices
+from avionyx.llm.text import WORD, free_name, giving_back, slices
 from avionyx.operators.joins import bounded_broadcast
 from avionyx.session import materialize
 
@@ -333,6 +333,7 @@ def _links(docs: DataFrame, min_words: int) -> DataFrame:
         seeds = slice_seeds([d[2] for d in held], min_words)
         return pack(np.array([d[:2] for d in held], np.int64), seeds, buckets, salts) if len(seeds[0]) else None
 
+    @giving_back
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
@@ -349,6 +350,7 @@ def _links(docs: DataFrame, min_words: int) -> DataFrame:
         if made is not None:
             yield made
 
+    @giving_back
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in _pieces(batches):
@@ -552,6 +554,7 @@ def _chains(links: DataFrame, min_words: int, identity: float) -> DataFrame:
     anchors = F.struct("first_id", "first_version", "strong", "at")
     grouped = links.groupBy("doc_id", "version").agg(F.collect_list(anchors).alias("a")).select("doc_id", "version", "a.first_id", "a.first_version", "a.strong", "a.at")
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches):
             rows: list[tuple] = []
@@ -587,6 +590,7 @@ def _chains(links: DataFrame, min_words: int, identity: float) -> DataFrame:
 def _blocks(docs: DataFrame) -> DataFrame:
     """``doc_id, version, block, words``: word hashes (32 bits each) of the asked ``blocks`` of BLOCK words."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches):
             ids, versions, raws, asked = (c.to_pylist() for c in batch.columns)
@@ -646,6 +650,7 @@ def _passages(docs: DataFrame, min_words: int, identity: float) -> DataFrame:
     )
     both = chains.join(words, "chain").select("doc_id", "first_id", "x", "y", "version", "side", "block", "words")
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches):
             out: list[tuple] = []
@@ -702,6 +707,7 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS, identity: float = I
     at = names.index(text_col)
     size_at = names.index(size_col) if size_col in names else None
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cuts = batch.column(len(names)).to_pylist()
