@@ -12,12 +12,14 @@ def resident_mb():
 
 
 def test_a_task_gives_back_what_it_freed():
-    pins = []  # the C heap can only shrink from its end, which these hold
+    pins = []  # the C heap shrinks by itself from its end only; these lie between the chunks
 
     def run(batches):
         for batch in batches:
-            chunks = [np.ones(100_000, np.uint8) for _ in range(1500)]
-            pins.append(np.ones(2_000, np.uint8))
+            chunks = []
+            for _ in range(1500):
+                chunks.append(np.ones(100_000, np.uint8))
+                pins.append(np.ones(2_000, np.uint8))
             del chunks
             yield batch
 
