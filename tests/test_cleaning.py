@@ -30,6 +30,16 @@ def test_br1_is_idempotent(spark):
     assert sorted(once.collect()) == sorted(cleaning.swap_inverted_times(once).collect())
 
 
+def test_br1_leaves_flights_without_one_of_the_times(spark):
+    day = "2020-01-01 "
+    times = [(a, b) for a in (None, "09:00", "10:00") for b in (None, "09:00", "10:00")]
+    rows = [(i, "A", day + "08:00", day + "12:00", a and day + a, b and day + b, None, None) for i, (a, b) in enumerate(times)]
+    out = {r.id: (r.actualdeparture, r.actualarrival) for r in cleaning.swap_inverted_times(flights_df(spark, rows)).collect()}
+    for i, (a, b) in enumerate(times):
+        swapped = (b, a) if a and b and b < a else (a, b)
+        assert out[i] == tuple(x and ts(day + x) for x in swapped)
+
+
 def _br2_rows():
     return [
         # A: 10-12 then 11-13 -> the first one overlaps its successor

@@ -5,8 +5,8 @@ import re
 from conftest import SMOKE_DIR
 from pyspark.sql import functions as F
 
-from avionyx.operators import cleaning
-from avionyx.plans import baseline, kpis
+from avionyx.operators import cleaning, facts
+from avionyx.plans import baseline, etl, kpis
 from avionyx.plans.warehouse import build_warehouse
 from avionyx.sources import load_test_sources
 
@@ -101,3 +101,25 @@ def test_overlap_removal_moves_no_whole_row_by_id(spark):
         assert cleaning.drop_overlapping_flights(rows).count() == cleaning.drop_overlapping_flights(rows, judged).count()
     finally:
         spark.conf.unset(BROADCAST_ROWS_CONF)
+
+
+JIT_LIMIT = 8000  # bytes of a method that HotSpot still compiles
+
+
+def _largest_method(spark, df) -> int:
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan holds no code before it runs
+    try:
+        stages = df.select("*")._jdf.queryExecution().debug().codegenToSeq()
+        return max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_filters_on_swapped_flights_stay_small_enough_to_be_compiled(spark):
+    flights = cleaning.swap_inverted_times(load_test_sources(spark, SMOKE_DIR).flights)
+    flown = flights.filter(cleaning._is_flown())
+    rest = flights.filter(~cleaning._is_flown())
+    known = flights.select("aircraftregistration", F.col("scheduleddeparture").alias("_last")).limit(5)
+    late = etl._late_flights(flights, known.select("aircraftregistration", F.col("_last").alias("actualdeparture"), F.lit(False).alias(cleaning.SETTLED)))
+    for df in (flown, flown.select("id", "actualdeparture"), rest, late, facts.daily_flight_totals(flown.unionByName(rest))):
+        assert 0 < _largest_method(spark, df) < JIT_LIMIT
