@@ -6,7 +6,7 @@ from conftest import SMOKE_DIR
 from pyspark.sql import functions as F
 
 from avionyx.operators import cleaning, facts
-from avionyx.plans import baseline, etl, kpis
+from avionyx.plans import baseline, catalog, etl, kpis
 from avionyx.plans.warehouse import build_warehouse
 from avionyx.sources import load_test_sources
 
@@ -123,3 +123,20 @@ def test_filters_on_swapped_flights_stay_small_enough_to_be_compiled(spark):
     late = etl._late_flights(flights, known.select("aircraftregistration", F.col("_last").alias("actualdeparture"), F.lit(False).alias(cleaning.SETTLED)))
     for df in (flown, flown.select("id", "actualdeparture"), rest, late, facts.daily_flight_totals(flown.unionByName(rest))):
         assert 0 < _largest_method(spark, df) < JIT_LIMIT
+
+
+def test_checks_read_the_broken_facts_from_one_stored_table(spark):
+    broken = catalog._broken_tables(spark, SMOKE_DIR)["Flight_Operations_Daily"]
+    p = _plan(broken)
+    assert "Scan parquet" in p and "Join" not in p and "Union" not in p
+    assert all(r["count"] == 2 for r in broken.groupBy("Date_ID", "Full_Date", "aircraftregistration").count().collect())
+
+
+def test_refused_rows_are_parsed_once(spark):
+    out = catalog.etl_refused(spark, SMOKE_DIR)
+    p = _plan(out)
+    assert p.count("from_json(") == 1 and "get_json_object" not in p
+    assert dict(out.dtypes) == {"table_name": "string", "kind": "string", "constraint_name": "string", "Date_ID": "int", "Aircraft_ID": "int"}
+    # rows of a table without dates have no Date_ID, those of an unknown aircraft no Aircraft_ID
+    assert out.where("table_name = 'Aircrafts' and Date_ID is null and Aircraft_ID is not null").count() > 0
+    assert out.where("constraint_name = 'Aircraft_ID' and kind = 'not_null'").where("Aircraft_ID is not null or Date_ID is null").count() == 0
